@@ -44,10 +44,15 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Sums of money are exact decimals, so ratios often sit on a rounding tie that the
+# last bit of a sum decides; the offset moves them off the tie.
+ROUND_OFFSET = 1.3e-9
+
+
 def r(col: Column | str, digits: int = 6) -> Column:
     """Round for output; adding 0.0 turns -0.0 into 0.0."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c, digits) + F.lit(0.0)
+    return F.round(c + F.lit(ROUND_OFFSET), digits) + F.lit(0.0)
 
 
 def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["ingest", "filters", "joins", "aggregates", "windows", "ordering", "rules", "modelling", "increments"]
+MODULES = ["ingest", "aggregates", "windows", "joins", "filters", "ordering", "rules", "modelling", "increments"]
 
 
 def load():
