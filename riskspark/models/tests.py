@@ -26,3 +26,58 @@ def news_market_flags(domain_days: DataFrame, returns: DataFrame, domain: str =
     market = returns.filter(F.col("ticker") == ticker).select("date", "ret")
     return market.join(news, "date").select(flag(F.col("sentiment_score") < mid).alias("a"),
                                             flag(F.col("ret") < 0).alias("b"))
+
+
+def archetype_returns(returns: DataFrame, archetypes: DataFrame) -> DataFrame:
+    """Equal-weight daily return of each archetype."""
+    return returns.join(archetypes, "ticker").groupBy("archetype", "date").agg(
+        F.avg("ret").alias("ret")).filter("ret IS NOT NULL")
+
+
+def anova(df: DataFrame, group: str, value: str) -> DataFrame:
+    """One-way F from group sums."""
+    g = df.groupBy(group).agg(F.count(value).alias("n"), F.sum(value).alias("s"), F.var_pop(value).alias("v"))
+    t = g.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("s").alias("s"),
+              F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between"), F.sum(F.col("v") * F.col("n")).alias("within"))
+    ss = F.col("between") - F.col("s") * F.col("s") / F.col("n")
+    f = F.try_divide(ss / (F.col("k") - 1), F.col("within") / (F.col("n") - F.col("k")))
+    return t.select(f.alias("f_stat"), (F.col("k") - 1).alias("df_between"), (F.col("n") - F.col("k")).alias("df_within"))
+
+
+def chi2_yates(df: DataFrame, a, b) -> DataFrame:
+    """2x2 independence with continuity correction."""
+    n = [F.count_if((a == i) & (b == j)).cast("double").alias(f"n{i}{j}") for i in (0, 1) for j in (0, 1)]
+    t = df.agg(*n)
+    c = {k: F.col(f"n{k}") for k in ("00", "01", "10", "11")}
+    total = c["00"] + c["01"] + c["10"] + c["11"]
+    det = F.abs(c["00"] * c["11"] - c["01"] * c["10"])
+    gap = F.greatest(det - F.least(total / 2, det), F.lit(0.0))
+    den = (c["00"] + c["01"]) * (c["10"] + c["11"]) * (c["00"] + c["10"]) * (c["01"] + c["11"])
+    return t.select(F.try_divide(total * gap * gap, den).alias("chi2"), total.alias("n"))
+
+
+def bootstrap_t(df: DataFrame, group: str, value: str, first: str, second: str, draws: int = 1000, size: int = 5,
+                seed: int = 42) -> DataFrame:
+    """Repeated small samples: mean t statistic and share with p < .05. Draws are
+    hashed row positions, so a retried task draws the same rows, and they meet the
+    population by an equi-join on the position."""
+    from pyspark.sql import Window as W
+    pop = df.filter(F.col(group).isin(first, second)).select(
+        F.col(group).alias("arm"), F.col(value).alias("v"),
+        F.row_number().over(W.partitionBy(group).orderBy("date")).alias("pos"))
+    sizes = pop.groupBy("arm").agg(F.max("pos").alias("n"))
+    ask = sizes.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn(
+        "slot", F.explode(F.sequence(F.lit(1), F.lit(size))))
+    ask = ask.withColumn("pos", (F.pmod(F.xxhash64("arm", "draw", "slot", F.lit(seed)), F.col("n")) + 1).cast("int"))
+    s = ask.join(pop, ["arm", "pos"]).groupBy("draw").agg(*[
+        f(F.when(F.col("arm") == arm, F.col("v"))).alias(n) for arm, x in ((first, "1"), (second, "2"))
+        for f, n in ((F.avg, f"m{x}"), (F.var_samp, f"v{x}"))])
+    t = F.try_divide(F.col("m1") - F.col("m2"), F.sqrt((F.col("v1") + F.col("v2")) / size))
+
+    @F.pandas_udf("double")
+    def p(ts: pd.Series) -> pd.Series:
+        return ts.map(lambda x: dist.t_sf2(x, 2 * size - 2) if pd.notna(x) else None)
+
+    return s.select(t.alias("t")).agg(F.avg("t").alias("mean_t"),
+                                      F.avg((p("t") < 0.05).cast("double")).alias("share_significant"),
+                                      F.count(F.lit(1)).alias("draws"))

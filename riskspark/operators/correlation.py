@@ -85,3 +85,22 @@ def predictive_power(df: DataFrame, domains: list[str]) -> DataFrame:
     r = df.groupBy("portfolio", "domain").agg(
         F.abs(pearson(F.col("news_lag1_sentiment_score"), F.col("ret"))).alias("abs_r"))
     return r.groupBy("portfolio").pivot("domain", domains).agg(F.first("abs_r")).fillna(0.0)
+
+
+def correlation_table(df: DataFrame, cols: list[str], warn: float = 0.7) -> DataFrame:
+    """All column pairs' correlation on complete rows, from one cross-product pass."""
+    import numpy as np
+    import pandas as pd
+
+    from riskspark.models import gram as gm
+
+    def pairs(_, pdf):
+        m = gm.matrix(pdf)
+        mean = m[0, 1:] / m[0, 0]
+        c = m[1:, 1:] / m[0, 0] - np.outer(mean, mean)
+        sd = np.sqrt(np.diag(c))
+        return pd.DataFrame([(cols[i], cols[j], float(c[i, j] / (sd[i] * sd[j])) if sd[i] * sd[j] > 0 else None)
+                             for i in range(len(cols)) for j in range(i + 1, len(cols))], columns=["a", "b", "r"])
+
+    out = gm.solve_groups(gm.gram(df, [], cols), [], pairs, "a string, b string, r double")
+    return out.withColumn("high", F.abs("r") > warn)

@@ -135,3 +135,10 @@ def missing_cells(df: DataFrame, cols: list[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing"))
                       for i, c in enumerate(cols)])
     return counts.select(F.inline(pairs))
+
+
+def eval_regression(df: DataFrame, keys: list[str], actual: str, predicted: str) -> DataFrame:
+    t = df.dropna(subset=[actual, predicted])
+    e = F.col(actual) - F.col(predicted)
+    return t.groupBy(*keys).agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
+                                (1 - F.try_divide(F.avg(e * e), F.var_pop(actual))).alias("r2"))

@@ -30,7 +30,7 @@ def risk_scores(s, d):
 
 @query("agg_daily_sentiment", f"SELECT {_DAILY} FROM c_daily0")
 def agg_daily_sentiment(s, d):
-    return rounded(se.daily_sentiment(cal.roll_weekend(x.unique_articles(s, d))), *PROBS)
+    return rounded(x.daily_raw(s, d), *PROBS)
 
 
 @query("winsorize_3sigma", f"SELECT {_DAILY} FROM c_daily")
@@ -100,7 +100,7 @@ def sri_summary(s, d):
              + 0.0 AS safety_score FROM a""")
 def legacy_risk_safety(s, d):
     from riskspark.operators.scores import legacy_scores
-    p = fx.prices(s, d).withColumn("ret", ro.pct_return("price", "ticker"))
+    p = x.prices(s, d).withColumn("ret", ro.pct_return("price", "ticker"))
     p = p.withColumns({"vol": ro.roll_std("ret", 20, 5, "ticker"), "dd": ro.drawdown("price", "ticker")})
     geo = x.daily(s, d).filter("domain = 'geopolitical'").select("date", F.col("sentiment_score").alias("geo"))
     on_days = cal.asof_values(x.trading_days(s, d).withColumn("_k", F.lit(1)), geo.withColumn("_k", F.lit(1)),

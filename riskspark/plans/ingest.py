@@ -167,5 +167,4 @@ def sink_wide_export(s, d):
 
 @query("dim_portfolio_map", "SELECT portfolio, ticker FROM c_bridge WHERE ticker IN (SELECT ticker FROM c_prices)")
 def dim_portfolio_map(s, d):
-    from riskspark.plans.windows import _traded_members
-    return _traded_members(s, d)
+    return x.traded_members(s, d)

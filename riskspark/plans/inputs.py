@@ -1,11 +1,37 @@
-"""Stages shared by the registered queries."""
+"""Stages shared by the registered queries.
+
+Two reductions read the large tables: trades to daily prices, and articles to daily
+sentiment. Both are written once per query call and rescanned from there, because
+what follows (calendars, windows, joins) reads each of them several times; without
+the cut every one of those reads would scan the raw tables again. Their size is
+bounded by days x tickers and days x domains.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 from riskspark import constants as K, fixtures as fx
+from riskspark.common import materialise
 from riskspark.operators import calendar as cal, normalise as nz, rolling as ro, sentiment as se
+from riskspark.operators.portfolio import portfolio_series
+
+_CALL: dict = {}
+
+
+def new_call() -> None:
+    """Forget the stages of the previous query call."""
+    _CALL.clear()
+
+
+def _once(name, s, d, build) -> DataFrame:
+    if (name, d) not in _CALL:
+        _CALL[name, d] = materialise(build(), name)
+    return _CALL[name, d]
+
+
+def prices(s, d) -> DataFrame:
+    return _once("prices", s, d, lambda: fx.prices(s, d))
 
 
 def scored(s, d) -> DataFrame:
@@ -19,24 +45,35 @@ def unique_articles(s, d) -> DataFrame:
                          [nz.source_priority(K.DOMAINS), F.col("article_id")])
 
 
+def daily_raw(s, d) -> DataFrame:
+    """Daily sentiment before clipping."""
+    return _once("daily", s, d, lambda: se.daily_sentiment(cal.roll_weekend(unique_articles(s, d))))
+
+
 def daily(s, d) -> DataFrame:
-    return se.clean_daily(unique_articles(s, d))
+    return se.winsorize(daily_raw(s, d), "sentiment_score", "domain")
 
 
 def trading_days(s, d) -> DataFrame:
-    """Distinct trade days straight from the trades: the price join is not needed."""
-    line = fx.table(s, d, "lineitem").select(F.to_date("l_shipdate").alias("date"))
-    return line.filter(F.weekday("date") < 5).distinct()
+    return cal.trading_calendar(prices(s, d))
 
 
 def domain_days(s, d) -> DataFrame:
     return se.on_trading_days(daily(s, d), trading_days(s, d), K.DOMAINS)
 
 
+def panel(s, d) -> DataFrame:
+    return ro.price_panel(prices(s, d))
+
+
 def returns(s, d) -> DataFrame:
-    return ro.returns(fx.prices(s, d))
+    return ro.returns(prices(s, d))
 
 
 def portfolio_days(s, d) -> DataFrame:
-    from riskspark.operators.portfolio import portfolio_series
     return portfolio_series(returns(s, d), fx.portfolio_map(s))
+
+
+def traded_members(s, d) -> DataFrame:
+    """Portfolio members that trade in the given data."""
+    return fx.portfolio_map(s).join(prices(s, d).select("ticker").distinct(), "ticker", "left_semi")

@@ -122,7 +122,7 @@ def shock_events(s, d):
     f = feats(s, d)
     shocks = sh.shock_days(f)
     rec = sh.recovery_days(shocks).join(f.select("portfolio", "date", "pre_shock_baseline"), ["portfolio", "date"])
-    regime = ro.regime_flag(ro.price_panel(fx.prices(s, d)), K.MARKET_TICKER)
+    regime = ro.regime_flag(x.panel(s, d), K.MARKET_TICKER)
     return fe.shock_context(rec, dom_feats(s, d), regime, K.DOMAINS)
 
 
@@ -186,7 +186,6 @@ def distinct_key(s, d):
     ({', '.join("'" + t + "'" for t in K.SAFE_HAVEN)}))), ','), '') AS safe, count(*) AS members FROM c_bridge
     WHERE ticker IN (SELECT ticker FROM c_prices) GROUP BY 1""")
 def array_overlap(s, d):
-    from riskspark.plans.windows import _traded_members
-    g = _traded_members(s, d).groupBy("portfolio").agg(F.collect_set("ticker").alias("m"))
+    g = x.traded_members(s, d).groupBy("portfolio").agg(F.collect_set("ticker").alias("m"))
     both = F.array_sort(F.array_intersect("m", F.array(*[F.lit(t) for t in K.SAFE_HAVEN])))
     return g.select("portfolio", F.array_join(both, ",").alias("safe"), F.size("m").cast("long").alias("members"))

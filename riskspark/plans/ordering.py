@@ -37,7 +37,7 @@ _TAIL = ", ".join([f"max(CASE WHEN ticker = '{t}' THEN {R('price', 2)} END) AS {
     FROM p LEFT JOIN c_wide USING (date) ORDER BY date DESC LIMIT 60""")
 def tail_60(s, d):
     from riskspark.operators import rolling as ro
-    price = ro.price_panel(fx.prices(s, d)).filter(F.col("ticker").isin(_MEMBERS))
+    price = x.panel(s, d).filter(F.col("ticker").isin(_MEMBERS))
     wide = price.groupBy("date").pivot("ticker", _MEMBERS).agg(F.first("price"))
     sent = se.pivot_domains(x.domain_days(s, d), K.DOMAINS, ["sentiment_score"])
     t = sv.tail(wide.join(sent, "date", "left"), 60)

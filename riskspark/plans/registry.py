@@ -5,11 +5,13 @@ A check's SQL may name shared CTEs (``c_...``); :func:`full_sql` adds them.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskspark.plans import inputs
 from riskspark.plans.shared_sql import CTES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,8 +48,14 @@ def query(name: str, sql: str | None = None):
     def add(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def call(spark, sf_dir):
+            inputs.new_call()
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = call
         if sql is not None:
             CHECKS[name] = full_sql(sql)
-        return fn
+        return call
     return add

@@ -71,7 +71,7 @@ def log_return(s, d):
 
 @query("pct_return", f"SELECT ticker, date, {R(f'price / lag(price) {TK} - 1')} AS ret FROM c_panel")
 def pct_return(s, d):
-    return _pick(ro.price_panel(fx.prices(s, d)).withColumn("ret", ro.pct_return("price", "ticker")), TKEY, "ret")
+    return _pick(x.panel(s, d).withColumn("ret", ro.pct_return("price", "ticker")), TKEY, "ret")
 
 
 @query("roll_std_5", f"SELECT ticker, date, {R('vol5')} AS vol5 FROM c_ret")
@@ -138,7 +138,7 @@ def lagged_vol(s, d):
 
 @query("ffill", f"SELECT ticker, date, {R('price')} AS price FROM c_panel")
 def ffill(s, d):
-    return _pick(ro.price_panel(fx.prices(s, d)), TKEY, "price")
+    return _pick(x.panel(s, d), TKEY, "price")
 
 
 @query("ffill_limit1", f"""SELECT domain, date, {R('sentiment_score')} AS sentiment_score,
@@ -155,7 +155,7 @@ def expanding_q95_shock(s, d):
 
 @query("regime_flag", "SELECT date, market_regime_flag FROM c_regime")
 def regime_flag(s, d):
-    return ro.regime_flag(ro.price_panel(fx.prices(s, d)), K.MARKET_TICKER)
+    return ro.regime_flag(x.panel(s, d), K.MARKET_TICKER)
 
 
 CTES["c_pairret"] = """
@@ -196,7 +196,7 @@ def roll_corr_60(s, d):
 @query("drawdown", f"""SELECT ticker, date, {R(f'(price - max(price) {TK}) / (max(price) {TK})')} AS drawdown
     FROM c_panel""")
 def drawdown(s, d):
-    return _pick(ro.price_panel(fx.prices(s, d)).withColumn("drawdown", ro.drawdown("price", "ticker")), TKEY, "drawdown")
+    return _pick(x.panel(s, d).withColumn("drawdown", ro.drawdown("price", "ticker")), TKEY, "drawdown")
 
 
 _ZCOLS = ["sentiment_score", "avg_prob_neg", "avg_prob_pos", "avg_prob_neu", "sentiment_3d", "sentiment_velocity",
@@ -224,24 +224,19 @@ def interaction_terms(s, d):
                  *[f"weighted_sentiment_{g}" for g in K.DOMAINS])
 
 
-def _traded_members(s, d):
-    """Portfolio members that trade in the given data."""
-    return fx.portfolio_map(s).join(fx.ticks(s, d).select("ticker").distinct(), "ticker", "left_semi")
-
-
 _TRADED = "SELECT * FROM c_bridge WHERE ticker IN (SELECT ticker FROM c_prices)"
 _SAFE = ", ".join(f"'{t}'" for t in K.SAFE_HAVEN)
 
 
 @query("hhi", f"SELECT portfolio, {R('1.0 / count(*)')} AS hhi FROM ({_TRADED}) GROUP BY 1")
 def hhi(s, d):
-    return _pick(fe.composition(_traded_members(s, d), K.SAFE_HAVEN), ["portfolio"], "hhi")
+    return _pick(fe.composition(x.traded_members(s, d), K.SAFE_HAVEN), ["portfolio"], "hhi")
 
 
 @query("safe_haven_weight", f"""SELECT portfolio, {R(f'avg((ticker IN ({_SAFE}))::INT)')} AS safe_haven_weight
     FROM ({_TRADED}) GROUP BY 1""")
 def safe_haven_weight(s, d):
-    return _pick(fe.composition(_traded_members(s, d), K.SAFE_HAVEN), ["portfolio"], "safe_haven_weight")
+    return _pick(fe.composition(x.traded_members(s, d), K.SAFE_HAVEN), ["portfolio"], "safe_haven_weight")
 
 
 @query("recovery_days", f"""SELECT portfolio, date, {R('vol5')} AS vol5, {R('threshold')} AS threshold,
