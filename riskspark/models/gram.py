@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame, functions as F
 _FLUSH = 2_000  # groups held by one task before it emits its partial sums
 
 
-def gram(df: DataFrame, keys: list[str], cols: list[str], weight: str | None = None) -> DataFrame:
+def gram(df: DataFrame, keys: list[str], cols: list[str], zero: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """(keys, i, j, v) for i <= j; index 0 is the constant, i >= 1 is cols[i - 1].
-    Rows with a NULL in any column are left out."""
-    used = [*cols, *([weight] if weight else [])]
-    rows = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in used]).dropna(subset=used)
+    Rows with a missing value are left out, but columns in ``zero`` count as 0 there.
+    Both rules run on the arrays: stating them as filters over dozens of columns makes
+    the optimizer derive constraints without end."""
+    rows = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
     k = len(cols) + 1
+    filled = [i for i, c in enumerate(cols) if c in set(zero)]
     iu, ju = np.triu_indices(k)
 
     def emit(acc):
@@ -37,10 +39,11 @@ def gram(df: DataFrame, keys: list[str], cols: list[str], weight: str | None = N
         for pdf in batches:
             groups = pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]
             for key, part in groups:
-                z = np.column_stack([np.ones(len(part)), part[cols].to_numpy(dtype=float)])
-                w = part[weight].to_numpy(dtype=float)[:, None] if weight else 1.0
-                key = key if isinstance(key, tuple) else (key,)
-                acc[key] = acc.get(key, 0.0) + (z * w).T @ z
+                v = part[cols].to_numpy(dtype=float)
+                v[:, filled] = np.nan_to_num(v[:, filled])
+                v = v[~np.isnan(v).any(axis=1)]
+                z = np.column_stack([np.ones(len(v)), v])
+                acc[key] = acc.get(key, 0.0) + z.T @ z
             if len(acc) >= _FLUSH:
                 yield emit(acc)
                 acc = {}

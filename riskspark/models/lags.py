@@ -35,7 +35,7 @@ def adf(series: DataFrame, key: str, value: str, max_lag: int | None = None) ->
     base = rows.withColumns({"y1": F.lag("y", 1).over(w), "rn": F.row_number().over(w)})
     base = _with_lags(base.withColumn("dy", F.col("y") - F.col("y1")), [key], "dy", top, "d")
     lagged = [f"d{k}" for k in range(1, top + 1)]
-    base = base.join(stats.filter("NOT constant"), key).fillna(0.0, subset=lagged)
+    base = base.join(stats.filter("NOT constant"), key)
     cols = ["dy", "y1", *lagged]
 
     def search(k, pdf):
@@ -44,7 +44,7 @@ def adf(series: DataFrame, key: str, value: str, max_lag: int | None = None) ->
             gm.ols(g, [0, 2, *range(3, 3 + p)], 1)["rss"], g[0, 0], p + 2))
         return pd.DataFrame({key: [k[0]], "lag": [best]})
 
-    common = gm.gram(base.filter("rn > cap + 1"), [key, "cap"], cols)
+    common = gm.gram(base.filter("rn > cap + 1"), [key, "cap"], cols, zero=lagged)
     order = gm.solve_groups(common, [key], search, f"{key} string, lag int")
 
     def final(k, pdf):
@@ -54,7 +54,7 @@ def adf(series: DataFrame, key: str, value: str, max_lag: int | None = None) ->
         return pd.DataFrame({key: [k[0]], "lag": [p], "n_obs": [int(g[0, 0])], "statistic": [t],
                              "p_value": [dist.adf_p(t)]})
 
-    own = gm.gram(base.join(order, key).filter("rn > lag + 1"), [key, "lag"], cols)
+    own = gm.gram(base.join(order, key).filter("rn > lag + 1"), [key, "lag"], cols, zero=lagged)
     out = gm.solve_groups(own, [key], final, f"{key} string, lag int, n_obs long, statistic double, p_value double")
     flat = stats.filter("constant").select(key, F.lit(0).alias("lag"), F.col("n").alias("n_obs"),
                                            F.lit(None).cast("double").alias("statistic"), F.lit(1.0).alias("p_value"))
@@ -83,8 +83,8 @@ def granger(pairs: DataFrame, keys: list[str], y: str, x: str, control: str | No
     for c in names:
         rows = _with_lags(rows, keys, c, max_lag, f"{c}_")
     lagged = [f"{c}_{k}" for c in names for k in range(1, max_lag + 1)]
-    rows = rows.fillna(0.0, subset=lagged).withColumn("lag", F.explode(F.sequence(F.lit(1), F.lit(max_lag))))
-    g = gm.gram(rows.filter("rn > lag"), [*keys, "lag"], [y, *lagged])
+    rows = rows.withColumn("lag", F.explode(F.sequence(F.lit(1), F.lit(max_lag))))
+    g = gm.gram(rows.filter("rn > lag"), [*keys, "lag"], [y, *lagged], zero=lagged)
 
     def test(key, pdf):
         m, p = gm.matrix(pdf), int(key[-1])
@@ -114,10 +114,10 @@ def var_fit(wide: DataFrame, cols: list[str], max_lag: int = 5) -> DataFrame:
         rows = _with_lags(rows, ["_s"], c, max_lag, f"l{i}_")
     k = len(cols)
     lagged = [f"l{i}_{p}" for p in range(1, max_lag + 1) for i in range(k)]
-    rows = rows.fillna(0.0, subset=lagged).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(max_lag))))
+    rows = rows.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(max_lag))))
     rows = rows.withColumn("common", F.explode(F.array(F.lit(False), F.lit(True))))
     rows = rows.filter(F.col("rn") > F.when(F.col("common"), F.lit(max_lag)).otherwise(F.col("p")))
-    g = gm.gram(rows, ["p", "common"], [*cols, *lagged])
+    g = gm.gram(rows, ["p", "common"], [*cols, *lagged], zero=lagged)
     terms = ["const"] + [f"{c}_lag{p}" for p in range(1, max_lag + 1) for c in cols]
 
     def resid(m, p):

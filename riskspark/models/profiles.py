@@ -61,7 +61,7 @@ def silhouette(df: DataFrame, cluster: str) -> float:
             s.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
         return pd.DataFrame({"s": [float(np.mean(s))]})
 
-    return t.groupBy(F.lit(1)).applyInPandas(mean, "s double").first()[0]
+    return t.groupBy(F.lit(0).alias("_g")).applyInPandas(mean, "s double").first()[0]
 
 
 def choose_k(df: DataFrame, limit: int = 4, seed: int = 42) -> tuple[list[tuple], int]:

@@ -20,7 +20,7 @@ def fit(rows: DataFrame, key: str, features: list[str], target: str, probs: list
     k = len(features) + 1
     cols = [*features, target]
     state: dict = {}
-    data = rows.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    data = rows.select(key, *[F.col(c).cast("double").alias(c) for c in cols])
     iu, ju = np.triu_indices(k + 1)
 
     def sums(current):
@@ -28,7 +28,9 @@ def fit(rows: DataFrame, key: str, features: list[str], target: str, probs: list
             acc: dict = {}
             for pdf in batches:
                 for name, part in pdf.groupby(key, sort=False):
-                    z = np.column_stack([np.ones(len(part)), part[cols].to_numpy()])
+                    v = part[cols].to_numpy(dtype=float)
+                    v = v[~np.isnan(v).any(axis=1)]
+                    z = np.column_stack([np.ones(len(v)), v])
                     for q in probs:
                         beta = current.get((name, q))
                         if beta is None:
