@@ -41,8 +41,9 @@ def scored(s, d) -> DataFrame:
 
 def unique_articles(s, d) -> DataFrame:
     """Clean feed: bad rows dropped, first copy of each headline per day kept."""
-    return nz.keep_first(nz.drop_bad(scored(s, d)), ["headline", "date"],
-                         [nz.source_priority(K.DOMAINS), F.col("article_id")])
+    kept = nz.drop_bad(fx.articles(s, d)).select("article_id", "headline", "date", "domain", "tone_label", "tone_score")
+    first = nz.keep_first(kept, ["headline", "date"], [nz.source_priority(K.DOMAINS), F.col("article_id")])
+    return nz.with_probs(first)
 
 
 def daily_raw(s, d) -> DataFrame:
