@@ -75,10 +75,13 @@ def returns(prices: DataFrame) -> DataFrame:
 
 
 def regime_flag(panel: DataFrame, ticker: str) -> DataFrame:
-    """1 when the market ticker trades above its 20-day mean."""
+    """1 when the market ticker trades above its 20-day mean. The mean of a flat window
+    is its price, whatever the sum rounds to, so a flat price is never above it."""
     one = panel.filter(F.col("ticker") == ticker)
-    return one.select("date", flag(F.col("price") > roll_mean("price", 20, 5, "ticker"))
-                      .alias("market_regime_flag"))
+    w = _frame(20, ("ticker",))
+    flat = F.min("price").over(w) == F.max("price").over(w)
+    above = ~flat & (F.col("price") > roll_mean("price", 20, 5, "ticker"))
+    return one.select("date", flag(above).alias("market_regime_flag"))
 
 
 def zscore_global(df: DataFrame, value: str, keys: list[str], fit_until: str | None = None) -> DataFrame:

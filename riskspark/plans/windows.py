@@ -41,9 +41,12 @@ CTES["c_domf0"] = f"""
     FROM c_dom"""
 CTES["c_domf"] = """SELECT *, coalesce((article_zscore > 2)::INT, 0) AS article_spike,
     article_zscore * sentiment_score AS weighted_sentiment FROM c_domf0"""
+# A window of one repeated price has that price as its mean; DuckDB's sum may round below it.
 CTES["c_regime"] = f"""
-    SELECT date, coalesce((price > {avg_gate('price', 20, 5, 'ticker')})::INT, 0) AS market_regime_flag
-    FROM c_panel WHERE ticker = '{K.MARKET_TICKER}'"""
+    SELECT date, CASE WHEN count(DISTINCT price) OVER w = 1 THEN 0
+           ELSE coalesce((price > {avg_gate('price', 20, 5, 'ticker')})::INT, 0) END AS market_regime_flag
+    FROM c_panel WHERE ticker = '{K.MARKET_TICKER}'
+    WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""
 CTES["c_work"] = f"""
     SELECT *, row_number() {PF} AS rn, count(*) OVER (PARTITION BY portfolio) AS n,
            coalesce((vol5 < threshold)::INT, 0) AS calm FROM c_shock WHERE vol5 IS NOT NULL"""

@@ -225,3 +225,10 @@ def test_batch_scorer_keeps_rows_and_sums_to_one(spark):
     assert (got[1]["tone_label"], got[2]["tone_label"]) == ("positive", "negative")
     for r in got.values():
         assert r["prob_pos"] + r["prob_neg"] + r["prob_neu"] == pytest.approx(1, abs=2e-4)
+
+
+def test_flat_price_is_not_above_its_mean(spark):
+    rows = [("m", day(i), 0.1 if i < 30 else 0.1 + i) for i in range(32)]
+    panel = spark.createDataFrame(rows, "ticker string, date date, price double")
+    got = [v for (v,) in one(ro.regime_flag(panel, "m").orderBy("date"), "market_regime_flag")]
+    assert got == [0] * 30 + [1, 1]
