@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -23,15 +24,21 @@ def domain_rows(df: DataFrame, domains: list[str], name: str = "domain") -> Data
     return df.withColumn(name, F.explode(F.array(*[F.lit(d) for d in domains])))
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="riskspark-")
+
+
+def _local_root(spark: SparkSession) -> str:
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_folder()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
     Only a local session may fall back to a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="riskspark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root(spark)
     return f"{root.rstrip('/')}/riskspark/{label}-{uuid.uuid4().hex}"
 
 

@@ -23,9 +23,9 @@ def running_totals(df: DataFrame, keys: list[str], value: str, aggs: dict[str, C
     base = base.filter(F.col(value).isNotNull())
     distinct = base.groupBy(*tag, value).agg(*[c.alias(n) for n, c in aggs.items()])
     cuts = [F.lit(i / buckets) for i in range(1, buckets)]
-    splits = distinct.groupBy(*tag).agg(F.percentile_approx(value, F.array(*cuts), F.lit(1000)).alias("_cuts"))
-    placed = distinct.join(splits, tag).withColumn(
-        "_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    splits = distinct.groupBy(*keys).agg(F.percentile_approx(value, F.array(*cuts), F.lit(1000)).alias("_cuts"))
+    placed = distinct.join(splits, keys) if keys else distinct.withColumn("_cuts", splits.scalar())
+    placed = placed.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
     names = list(aggs)
     totals = placed.groupBy(*tag, "_b").agg(*[F.sum(n).alias(f"_t_{n}") for n in names])
     before = W.partitionBy(*tag).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
@@ -34,7 +34,7 @@ def running_totals(df: DataFrame, keys: list[str], value: str, aggs: dict[str, C
         *tag, "_b", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in names],
         *[F.sum(f"_t_{n}").over(whole).alias(f"all_{n}") for n in names])
     inside = W.partitionBy(*tag, "_b").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    out = placed.join(offsets, [*tag, "_b"]).withColumns(
+    out = placed.join(offsets.drop(*([] if keys else tag)), [*keys, "_b"]).withColumns(
         {f"cum_{n}": F.col(f"_off_{n}") + F.sum(n).over(inside) for n in names})
     return out.select(*keys, value, *names, *[f"cum_{n}" for n in names], *[f"all_{n}" for n in names])
 
