@@ -18,7 +18,9 @@ def domain_features(domain_days: DataFrame, max_lag: int = 7) -> DataFrame:
         "sentiment_velocity": ro.velocity("sentiment_score", *k),
         "sentiment_3d": ro.roll_mean("sentiment_score", 3, 1, *k),
     })
-    return out.withColumns({"article_spike": flag(F.col("article_zscore") > 2),
+    # Counts are integers, so z = 2 is met exactly; the margin keeps the last bit of a
+    # sum from deciding whether such a day is above 2.
+    return out.withColumns({"article_spike": flag(F.col("article_zscore") > 2 + 1e-9),
                             "weighted_sentiment": F.col("article_zscore") * F.col("sentiment_score")})
 
 

@@ -39,7 +39,7 @@ CTES["c_domf0"] = f"""
            sentiment_score - lag(sentiment_score) {DM} AS sentiment_velocity,
            {avg_gate('sentiment_score', 3, 1, 'domain')} AS sentiment_3d
     FROM c_dom"""
-CTES["c_domf"] = """SELECT *, coalesce((article_zscore > 2)::INT, 0) AS article_spike,
+CTES["c_domf"] = """SELECT *, coalesce((article_zscore > 2 + 1e-9)::INT, 0) AS article_spike,
     article_zscore * sentiment_score AS weighted_sentiment FROM c_domf0"""
 # A window of one repeated price has that price as its mean; DuckDB's sum may round below it.
 CTES["c_regime"] = f"""

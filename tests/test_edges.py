@@ -232,3 +232,23 @@ def test_flat_price_is_not_above_its_mean(spark):
     panel = spark.createDataFrame(rows, "ticker string, date date, price double")
     got = [v for (v,) in one(ro.regime_flag(panel, "m").orderBy("date"), "market_regime_flag")]
     assert got == [0] * 30 + [1, 1]
+
+
+def test_score_of_exactly_two_is_no_spike(spark):
+    from itertools import combinations_with_replacement
+
+    from riskspark.operators import features as fe
+
+    def is_tie(c):
+        n, s, q = len(c), sum(c), sum(v * v for v in c)
+        return n * c[-1] > s and (n * c[-1] - s) ** 2 * (n - 1) == 4 * n * (n * q - s * s)
+
+    ties = [c for n in range(6, 10) for c in combinations_with_replacement(range(1, 6), n) if is_tie(c)]
+    assert ties
+    rows = [(str(k), day(i), v) for k, c in enumerate(ties) for i, v in enumerate(c)] + [
+        ("above", day(i), v) for i, v in enumerate([1, 1, 1, 1, 1, 6])]
+    df = spark.createDataFrame(rows, "domain string, date date, article_count long").withColumn(
+        "sentiment_score", F.lit(0.1))
+    got = {(r["domain"], r["date"]): r["article_spike"] for r in fe.domain_features(df).collect()}
+    assert got["above", day(5)] == 1
+    assert all(got[str(k), day(len(c) - 1)] == 0 for k, c in enumerate(ties))
