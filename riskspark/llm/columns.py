@@ -60,22 +60,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def words(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+#: 0 white space, 1 letters, digits and all bytes of other scripts, 2 the rest of ASCII.
+KIND = np.array([0 if SPACE[b] else 1 if b >= 128 or chr(b).isalnum() else 2 for b in range(256)], np.uint8)
+
+
+def words(col: pa.Array, lower: bool = True, split_marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each text, A-Z lower-cased,
-    and for each text the index of its first word (length + 1 entries).
+    and for each text the index of its first word (length + 1 entries). With
+    ``split_marks`` a run of punctuation is a word of its own.
 
     Works on the column's bytes: a word's hash is a difference of prefix sums, so
     no Python string is made."""
     offs, raw = _buffers(col)
-    low = LOWER[raw]
+    low = LOWER[raw] if lower else raw
     inside = ~SPACE[low]
     first = np.zeros(len(low) + 1, bool)
     first[offs[offs < len(low)]] = True
     first = first[: len(low)]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1] | first[1:]
-    ends = inside.copy()
-    ends[:-1] &= ~inside[1:] | first[1:]
+    kind = KIND[low] if split_marks else inside
+    edge = (kind[1:] != kind[:-1]) | first[1:]
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= edge
+    ends[:-1] &= edge
     start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     with np.errstate(over="ignore"):
         power = _powers(len(low) + 1)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import packing, token_files
+from riskspark.llm import language, packing, quality, token_files, toxicity
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -27,3 +27,21 @@ def op1_packing(spark, sf):
 @query
 def op2_token_files(spark, sf):
     return token_files.read_tokens(token_files.write_tokens(table(spark, sf, "documents")))
+
+
+@query
+def op3_language(spark, sf):
+    docs = table(spark, sf, "documents")
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
+    found = language.predict(docs, language.fit(docs.where(~held)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op6_quality(spark, sf):
+    return quality.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op9_toxicity(spark, sf):
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
