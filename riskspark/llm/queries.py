@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import language, packing, quality, token_files, toxicity
+from riskspark.llm import language, packing, pages, pieces, quality, token_files, toxicity
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -45,3 +45,14 @@ def op6_quality(spark, sf):
 @query
 def op9_toxicity(spark, sf):
     return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op8_pages(spark, sf):
+    return pages.extract(table(spark, sf, "pages"))
+
+
+@query
+def op10_pieces(spark, sf):
+    back = pieces.decode(pieces.encode(table(spark, sf, "documents")))
+    return back.select("doc_id", "n_tokens", "ids_crc32", F.length("text").cast("long").alias("n_chars"), F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"))
