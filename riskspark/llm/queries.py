@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import language, packing, pages, pieces, quality, token_files, toxicity
+from riskspark.llm import language, neighbours, packing, pages, pieces, quality, token_files, topk, toxicity
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -56,3 +56,24 @@ def op8_pages(spark, sf):
 def op10_pieces(spark, sf):
     back = pieces.decode(pieces.encode(table(spark, sf, "documents")))
     return back.select("doc_id", "n_tokens", "ids_crc32", F.length("text").cast("long").alias("n_chars"), F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"))
+
+
+@query
+def op4_neighbours(spark, sf):
+    return neighbours.search(table(spark, sf, "embeddings"))
+
+
+@query
+def op7_topk(spark, sf):
+    return topk.search(table(spark, sf, "embeddings"))
+
+
+CHECKS["op7_topk"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ordered WHERE place <= 5"""
