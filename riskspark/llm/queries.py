@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import language, neighbours, packing, pages, pieces, quality, token_files, topk, toxicity
+from riskspark.llm import jaccard, language, neighbours, packing, pages, pieces, quality, token_files, topk, toxicity
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -77,3 +77,8 @@ scored AS (
   FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 ordered AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ordered WHERE place <= 5"""
+
+
+@query
+def op5_jaccard(spark, sf):
+    return jaccard.classes(table(spark, sf, "documents"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,12 +13,22 @@ CHUNKS = 64
 SCHEMA = "chunk int, salt int, cells binary"
 
 
+def _squeeze(part: np.ndarray) -> bytes:
+    """Compressed byte planes: the upper bytes of counts are nearly all zero."""
+    return zlib.compress(np.ascontiguousarray(part.reshape(-1).view(np.uint8).reshape(-1, part.itemsize).T).tobytes(), 1)
+
+
+def _spread(cells: bytes, dtype) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(cells), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+
+
 def emit(table: np.ndarray, salt: int) -> Iterator[pa.RecordBatch]:
     """The chunks of a task's table that are not all zero."""
     for chunk, part in enumerate(np.array_split(table, min(CHUNKS, len(table)))):
         if part.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int32()), pa.array([salt % 64], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                [pa.array([chunk], pa.int32()), pa.array([salt % 64], pa.int32()), pa.array([_squeeze(np.ascontiguousarray(part))], pa.binary())],
                 names=["chunk", "salt", "cells"])
 
 
@@ -29,11 +40,11 @@ def total(parts: DataFrame, shape: tuple[int, ...], dtype) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, cells in zip(batch.column("chunk").to_pylist(), batch.column("cells").to_pylist()):
-                own = np.frombuffer(cells, dtype)
+                own = _spread(cells, dtype)
                 sums[chunk] = sums[chunk] + own if chunk in sums else own
         for chunk, own in sums.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int32()), pa.array([0], pa.int32()), pa.array([own.tobytes()], pa.binary())],
+                [pa.array([chunk], pa.int32()), pa.array([0], pa.int32()), pa.array([_squeeze(own)], pa.binary())],
                 names=["chunk", "salt", "cells"])
 
     n = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -42,7 +53,7 @@ def total(parts: DataFrame, shape: tuple[int, ...], dtype) -> np.ndarray:
     out = np.zeros(shape, dtype)
     views = np.array_split(out, min(CHUNKS, shape[0]))
     for row in summed.select("chunk", "cells").collect():
-        views[row["chunk"]][...] = np.frombuffer(row["cells"], dtype).reshape(views[row["chunk"]].shape)
+        views[row["chunk"]][...] = _spread(row["cells"], dtype).reshape(views[row["chunk"]].shape)
     return out
 
 
