@@ -230,3 +230,16 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, key: str
     smallest = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("smallest"))
     component = F.coalesce("smallest", "doc_id").alias("component_id")
     return rooted.join(smallest, "root", "left").select("doc_id", "n_shingles", component)
+
+
+def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, with all their columns, of the smallest doc_id of each class. Rows without
+    doc_id stay; rows of one doc_id stay or go together, and of those that share doc_id
+    and text one stays."""
+    found = materialise(classes(docs, size, percent, key, text), "jaccard-classes").where("doc_id is not null")
+    ids = found.groupBy("doc_id").agg(F.min("component_id").alias("least"), F.count(F.lit(1)).alias("rows"))
+    ids = ids.where((F.col("least") < F.col("doc_id")) | (F.col("rows") > 1)).select(
+        F.col("doc_id").alias("_id"), (F.col("least") < F.col("doc_id")).alias("_goes"))
+    marked = docs.join(ids, docs[key] == ids["_id"], "left")
+    single, repeated = marked.where("_id is null"), marked.where("not _goes").dropDuplicates([key, text])
+    return single.select(docs.columns).union(repeated.select(docs.columns))

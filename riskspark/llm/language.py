@@ -207,3 +207,13 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(run, f"{key} {kind}, lang_pred string, score double")
+
+
+def known_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text has a language (it is not ``und``)."""
+
+    def run(batches):
+        for batch in small_batches(batches, text):
+            yield batch.filter(pa.array([model.predict(x)[0] != UNKNOWN for x in batch.column(text).to_pylist()]))
+
+    return docs.mapInArrow(run, docs.schema)

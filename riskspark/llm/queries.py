@@ -44,7 +44,8 @@ def op6_quality(spark, sf):
 
 @query
 def op9_toxicity(spark, sf):
-    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
 
 
 @query

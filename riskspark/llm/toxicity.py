@@ -130,12 +130,12 @@ class Model:
 
     def probabilities(self, at: list, counts: list, n_words: np.ndarray) -> np.ndarray:
         """Probability of each grade of each row."""
-        score = np.array([_row(a, c, n) @ self.weights[np.append(a, len(self.terms)).astype(int)] for a, c, n in zip(at, counts, n_words)])
+        score = np.array([_row(c, n) @ self.weights[np.append(a, len(self.terms)).astype(int)] for a, c, n in zip(at, counts, n_words)])
         below = _sigmoid(self.thresholds[None, :] - score.reshape(-1, 1))
         return np.diff(np.concatenate([np.zeros((len(score), 1)), below, np.ones((len(score), 1))], 1), axis=1)
 
 
-def _row(at, counts, n_words) -> np.ndarray:
+def _row(counts, n_words) -> np.ndarray:
     """Damped counts of the terms, then the density of all of them."""
     c = np.asarray(counts, float)
     return np.append(np.log1p(c), np.log1p(100 * c.sum() / max(n_words, 1)))
@@ -145,7 +145,7 @@ def _fit_ordinal(rows: list, grade: np.ndarray, terms: int, steps: int = 400, l2
     """Weights and ordered thresholds by gradient steps (Adam) on the mean log loss."""
     row = np.repeat(np.arange(len(rows)), [len(x[0]) + 1 for x in rows])
     col = np.concatenate([np.append(a, terms) for a, _, _ in rows]).astype(int)
-    val = np.concatenate([_row(*x) for x in rows])
+    val = np.concatenate([_row(c, n) for _, c, n in rows])
     p = np.zeros(terms + 1 + GRADES - 1)  # weights, first threshold, log gaps
     p[terms + 1] = 1.0
     m, v = np.zeros_like(p), np.zeros_like(p)
@@ -169,42 +169,61 @@ def _fit_ordinal(rows: list, grade: np.ndarray, terms: int, steps: int = 400, l2
     return p[: terms + 1], p[terms + 1] + np.append(0, np.cumsum(np.exp(p[terms + 2 :])))
 
 
-def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str = "text") -> DataFrame:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str = "text") -> Model:
+    """Learn from (doc_id, text) and labels (doc_id, toxic). Labels that teach nothing (no
+    toxic or no clean rows, or no word that stands out) give a model without terms."""
+    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    chosen = materialise(labelled(labels, sample), "toxicity-labels")
+    marked = docs.join(F.broadcast(chosen), "doc_id", "left")  # about 2 * sample rows
+    terms = _terms(marked, "text")
+    known = _features(marked.where("toxic is not null"), terms, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = known.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in ("n_words", "at", "counts", "toxic")]).orderBy("doc_id").collect()
+    toxic = np.array([r["toxic"] for r in rows], int)
+    if not len(terms) or not 0 < toxic.sum() < len(toxic):
+        return Model(np.zeros(0, np.uint64), np.zeros(1), np.arange(6.0, 6.0 + GRADES - 1))
+    known = [(r["at"], r["counts"][: len(r["at"])], r["n_words"]) for r in rows]
+    density = np.array([100 * sum(c) / max(n, 1) for _, c, n in known])
+    bands = np.quantile(density[toxic == 1], np.arange(1, GRADES - 1) / (GRADES - 1))
+    grade = np.where(toxic == 1, 1 + np.searchsorted(bands, density, side="right"), 0)
+    return Model(terms, *_fit_ordinal(known, grade, len(terms)))
+
+
+def _grades(batch: pa.RecordBatch, model: Model, text: str):
+    """(words, term counts, probabilities of the grades) of a batch's texts."""
+    h, doc, counts, n = _distinct_words(batch, text)
+    at = np.searchsorted(model.terms, h)
+    own = np.flatnonzero(model.terms[np.minimum(at, len(model.terms) - 1)] == h) if len(model.terms) else np.zeros(0, np.int64)
+    ends = np.searchsorted(doc[own], np.arange(1, batch.num_rows))
+    ats, times = np.split(at[own], ends), np.split(counts[own], ends)
+    return n, np.array([t.sum() for t in times], np.int64), model.probabilities(ats, times, n)
+
+
+def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, n_terms, p_toxic, severity_grade, expected_severity, toxic) of each row.
 
     expected_severity is the mean grade (0 to GRADES - 1); toxic is p_toxic >= 0.5,
-    p_toxic being the probability of any grade over 0. A NULL or empty text, or labels
-    that teach nothing (no toxic or no clean rows), give the score of no terms. Keys may
-    be NULL or repeat; other columns are ignored."""
-    docs = docs.select(key, text)
-    chosen = materialise(labelled(labels, sample), "toxicity-labels")
-    marked = docs.join(F.broadcast(chosen.withColumnRenamed("doc_id", key)), key, "left")  # bounded by ``sample``
-    terms = _terms(marked, text)
-    stored = materialise(_features(docs, terms, key, text), "toxicity-terms")
-    known = stored.join(F.broadcast(chosen.withColumnRenamed("doc_id", key)), key).groupBy(key).agg(
-        F.first("n_words").alias("n_words"), F.first("at").alias("at"), F.first("counts").alias("counts"), F.max("toxic").alias("toxic"))
-    rows = sorted(known.collect(), key=lambda r: r[key])
-    toxic = np.array([r["toxic"] for r in rows], int)
-    if len(terms) and 0 < toxic.sum() < len(toxic):
-        density = np.array([100 * sum(r["counts"]) / max(r["n_words"], 1) for r in rows])
-        bands = np.quantile(density[toxic == 1], np.arange(1, GRADES - 1) / (GRADES - 1))
-        grade = np.where(toxic == 1, 1 + np.searchsorted(bands, density, side="right"), 0)
-        weights, thresholds = _fit_ordinal([(r["at"], r["counts"], r["n_words"]) for r in rows], grade, len(terms))
-    else:
-        terms, weights, thresholds = np.zeros(0, np.uint64), np.zeros(1), np.arange(6.0, 6.0 + GRADES - 1)
-    model = Model(terms, weights, thresholds)
+    p_toxic being the probability of any grade over 0. A NULL or empty text has the score
+    of no terms. Keys may be NULL or repeat; other columns are ignored."""
 
     def run(batches):
-        for batch in batches:
-            at, counts = (batch.column(c).to_pylist() for c in ("at", "counts"))
-            if not len(model.terms):
-                at, counts = [[]] * len(at), [[]] * len(at)
-            p = model.probabilities(at, counts, np.asarray(batch.column("n_words"))).reshape(-1, GRADES)
-            hits = np.array([sum(c) for c in counts], np.int64)
+        for batch in columns.small_batches(batches, text):
+            n, hits, p = _grades(batch, model, text)
+            toxic = 1 - p[:, 0]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), batch.column("n_words"), pa.array(hits), pa.array(1 - p[:, 0]), pa.array(p.argmax(1).astype(np.int32)),
-                 pa.array(p @ np.arange(GRADES)), pa.array(1 - p[:, 0] >= REJECT_AT)],
+                [batch.column(key), pa.array(n, pa.int64()), pa.array(hits), pa.array(toxic), pa.array(p.argmax(1).astype(np.int32)),
+                 pa.array(p @ np.arange(GRADES)), pa.array(toxic >= REJECT_AT)],
                 names=[key, "n_words", "n_terms", "p_toxic", "severity_grade", "expected_severity", "toxic"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return stored.mapInArrow(run, f"{key} {kind}, n_words long, n_terms long, p_toxic double, severity_grade int, expected_severity double, toxic boolean")
+    return docs.select(key, text).mapInArrow(
+        run, f"{key} {kind}, n_words long, n_terms long, p_toxic double, severity_grade int, expected_severity double, toxic boolean")
+
+
+def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, that are not toxic."""
+
+    def run(batches):
+        for batch in columns.small_batches(batches, text):
+            yield batch.filter(pa.array(1 - _grades(batch, model, text)[2][:, 0] < REJECT_AT))
+
+    return docs.mapInArrow(run, docs.schema)
