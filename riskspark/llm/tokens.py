@@ -1,10 +1,10 @@
 """Token ids of whole texts from a public vocabulary file, by the tokenizers library.
 
-A byte-level pre-tokenizer never joins what stands on both sides of a single white
-space between two visible characters, nor a letter or digit with the punctuation
-after it. Texts are therefore cut there, every distinct piece is encoded once by
-the library and kept in bounded tables of the worker; the ids of a text are the ids
-of its pieces in order, equal to those of the whole text.
+A byte-level pre-tokenizer never joins what stands on both sides of a single space or
+line break between two visible characters. Texts are therefore cut there, each
+distinct word is encoded once by the library and kept in a bounded table of the
+worker; the ids of a text are the ids of its words in order, equal to those of the
+whole text. Texts with two white spaces in a row are encoded whole.
 """
 
 from __future__ import annotations
@@ -17,11 +17,10 @@ import numpy as np
 import pyarrow as pa
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Words and pieces that a worker keeps; beyond it a table starts anew.
-KEPT = 400_000
+#: Words that a worker keeps: those of a full table that are used again go into the next.
+KEPT = 300_000
 LONGEST_KEPT = 64
 _RUN = re.compile(r"\s\s")
-_CUT = re.compile(r"(?<=[^\W_])(?=[.,;:!?%$&*#|)\]}>])|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -44,10 +43,11 @@ class Encoder:
 
     def __init__(self, path: str, kept: int = KEPT):
         self.tokenizer, self.kept = _tokenizer(path), kept
-        self.after_space: dict[str, bytes] = {}
-        self.alone: dict[str, bytes] = {}
+        self.table: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         top = max(self.tokenizer.get_vocab(with_added_tokens=True).values())
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
+        self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
 
@@ -58,33 +58,43 @@ class Encoder:
             out += [np.array(x.ids, self.dtype).tobytes() for x in coded]
         return out
 
-    def _known(self, texts: list[str]) -> dict[str, bytes]:
-        """Ids of texts without two white spaces in a row, from the pieces' table."""
-        if len(self.alone) > self.kept:
-            self.alone.clear()
-        parts = [_CUT.split(t) for t in texts]
-        new = list({x for p in parts for x in p}.difference(self.alone))
-        own = dict(zip(new, self.whole(new)))
-        table = self.alone
-        out = {t: b"".join(own[x] if x in own else table[x] for x in p) for t, p in zip(texts, parts)}
-        table.update((k, v) for k, v in own.items() if len(k) <= LONGEST_KEPT)
-        return out
+    def _lines(self, lines: list[str]) -> list[bytes]:
+        """Ids of texts without line breaks, as the lines of one text: a call for each
+        would cost more than the encoding."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, self.dtype)
+        at = np.flatnonzero(ids == self.line_break)
+        if len(at) != len(lines) - 1:
+            return self.whole(lines)
+        raw, width = ids.tobytes(), self.dtype.itemsize
+        cuts = [-width, *(at * width).tolist(), len(raw)]
+        return [raw[a + width : b] for a, b in zip(cuts, cuts[1:])]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words: those that begin with a line break, and others after a space."""
+        first = [w[1:] for w in words if w.startswith("\n")]
+        rest = [" " + w for w in words if not w.startswith("\n")]
+        step, brk = 20_000, np.array([self.line_break], self.dtype).tobytes()
+        a, b = ([x for i in range(0, len(y), step) for x in self._lines(y[i : i + step])] for y in (first, rest))
+        a, b = iter(a), iter(b)
+        return [brk + next(a) if w.startswith("\n") else next(b) for w in words]
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        if len(self.after_space) > self.kept:
-            self.after_space.clear()
-        table = self.after_space
+        if len(self.table) > self.kept:
+            self.older, self.table = self.table, {}
+        table, older = self.table, self.older
         plain = [not (_RUN.search(t) or (self.special and self.special.search(t))) for t in texts]
         odd = iter(self.whole([t for t, ok in zip(texts, plain) if not ok]))
-        parts = [t.split(" ") if ok else [""] for t, ok in zip(texts, plain)]
-        firsts = self._known(list({p[0] for p in parts}))
-        new = list(set().union(*(p[1:] for p in parts)).difference(table))
-        coded = self._known([" " + w for w in new]) if new else {}
+        parts = [t.replace("\n", " \n").split(" ") if ok else [""] for t, ok in zip(texts, plain)]
+        firsts = self.whole([p[0] for p in parts])
+        new = set().union(*(p[1:] for p in parts)).difference(table)
+        again = {w: older[w] for w in new if w in older}
+        new = [w for w in new if w not in again]
+        table.update(again)
         long = {}
-        for w in new:
-            (table if len(w) <= LONGEST_KEPT else long)[w] = coded[" " + w]
+        for w, ids in zip(new, self._words(new)):
+            (table if len(w) <= LONGEST_KEPT else long)[w] = ids
         get = table.__getitem__ if not long else lambda w: long[w] if w in long else table[w]
-        return [firsts[p[0]] + b"".join(map(get, p[1:])) if ok else next(odd) for p, ok in zip(parts, plain)]
+        return [first + b"".join(map(get, p[1:])) if ok else next(odd) for p, first, ok in zip(parts, firsts, plain)]
 
 
 @cache
