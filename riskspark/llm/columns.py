@@ -1,11 +1,11 @@
-"""Arrow and numpy views of text and vector columns, shared by the operators."""
+"""Arrow and numpy views of text columns, shared by the operators."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 U64 = np.uint64
 #: Odd multiplier of the rolling hash and its inverse modulo 2**64.
 _R = 0x9E3779B97F4A7C15
@@ -97,35 +97,13 @@ _POWERS: dict[bool, np.ndarray] = {}
 
 def _powers(n: int, inverse: bool = False) -> np.ndarray:
     have = _POWERS.get(inverse)
-    if have is None or len(have) < n:
-        size = max(n, 1 << 20)
-        step = np.full(size, _R_INV if inverse else _R, U64)
-        step[0] = 1
-        with np.errstate(over="ignore"):
-            have = np.cumprod(step)
-        if n <= 4 * BLOCK_BYTES:
-            _POWERS[inverse] = have
+    if have is not None and len(have) >= n:
+        return have[:n]
+    size = max(n, 2 * BLOCK_BYTES)
+    step = np.full(size, _R_INV if inverse else _R, U64)
+    step[0] = 1
+    with np.errstate(over="ignore"):
+        have = np.cumprod(step)
+    if size == 2 * BLOCK_BYTES:  # a longer text's table isn't kept
+        _POWERS[inverse] = have
     return have[:n]
-
-
-def vectors(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, matrix in double precision) of the usable vectors of an array column:
-    neither null nor holding a null or non-finite component, all of one length
-    (the most frequent length of the batch decides)."""
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    n = len(col)
-    valid = np.asarray(col.is_valid())
-    flat = col.flatten()
-    size = np.zeros(n, np.int64)
-    size[valid] = np.asarray(col.value_lengths().drop_null())
-    start = np.cumsum(size) - size
-    value = flat.cast(pa.float64()).fill_null(float("nan")).to_numpy(zero_copy_only=False)
-    usable = np.flatnonzero(valid & (size > 0))
-    if not len(usable):
-        return usable, np.zeros((0, 0))
-    dim = int(np.bincount(size[usable]).argmax())
-    usable = usable[size[usable] == dim]
-    m = value[start[usable][:, None] + np.arange(dim)]
-    good = np.isfinite(m).all(1)
-    return usable[good], m[good]
