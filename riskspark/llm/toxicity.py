@@ -1,9 +1,10 @@
 """Toxicity: cumulative-link ordinal regression on sparse word counts.
 
 One vector of weights serves all ordered thresholds: P(grade <= k) is the logistic
-function of threshold k minus the text's score. The terms are the words whose share
-of toxic labelled rows stands out; statistics of all documents damp words that are
-common anyway. Labels know toxic or not; grades 1 to ``GRADES`` - 1 of toxic rows
+function of threshold k minus the text's score. The terms are words whose share
+of toxic labelled rows stands out, chosen one after another for rows that the terms
+so far don't explain, and only if unlike rows show them: a group of copies with one
+label doesn't make its words toxic. Words of most documents are no terms. Labels know toxic or not; grades 1 to ``GRADES`` - 1 of toxic rows
 are quantile bands of the density of such terms.
 
 Labelled rows are a sample of at most about ``SAMPLE`` rows a class, a parameter;
@@ -24,9 +25,13 @@ from riskspark.llm import columns, tables
 BUCKETS = 1 << 18
 SAMPLE = 10_000
 GRADES = 4
-TERMS = 1_000
+#: Candidate words; the terms are chosen among them.
+TERMS = 4_000
+#: Terms that explain a toxic row, and the least number of unlike rows that show a term.
+COVER = 8
+UNLIKE = 5
 #: Standard errors by which a word's share in toxic rows must exceed that in clean rows.
-LEAST_Z = 6.0
+LEAST_Z = 5.0
 REJECT_AT = 0.5
 
 
@@ -103,7 +108,8 @@ def _terms(marked: DataFrame, text: str) -> np.ndarray:
 
 
 def _features(docs: DataFrame, terms: np.ndarray, key: str, text: str) -> DataFrame:
-    """(key, n_words, at, counts): the terms of each whole text."""
+    """(key, n_words, like, at, counts): the terms of each whole text, and a value that near
+    copies tend to share (two least hashes of its words)."""
 
     def run(batches):
         for batch in columns.small_batches(batches, text):
@@ -111,11 +117,39 @@ def _features(docs: DataFrame, terms: np.ndarray, key: str, text: str) -> DataFr
             at = np.searchsorted(terms, h)
             own = np.flatnonzero((at < len(terms)) & (terms[np.minimum(at, len(terms) - 1)] == h)) if len(terms) else np.zeros(0, np.int64)
             ends = np.searchsorted(doc[own], np.arange(batch.num_rows + 1))
+            like = np.zeros(batch.num_rows, np.uint64)
+            if len(h):
+                some = np.flatnonzero(np.diff(np.append(-1, doc)))
+                for seed in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+                    like[doc[some]] = columns.mix(like[doc[some]] ^ np.minimum.reduceat(columns.mix(h ^ np.uint64(seed)), some))
             lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x[own].astype(np.int32))) for x in (at, counts)]
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(n, pa.int64()), *lists], names=[key, "n_words", "at", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(n, pa.int64()), pa.array(like.view(np.int64)), *lists], names=[key, "n_words", "like", "at", "counts"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, n_words long, at array<int>, counts array<int>")
+    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, n_words long, like long, at array<int>, counts array<int>")
+
+
+def _explaining(rows: list, toxic: np.ndarray, terms: int) -> np.ndarray:
+    """Numbers of the chosen candidates, from (at, ..., like) of the labelled rows."""
+    doc = np.repeat(np.arange(len(rows)), [len(r["at"]) for r in rows])
+    term = np.concatenate([np.asarray(r["at"], int) for r in rows])
+    like = np.array([r["like"] for r in rows])
+    bad, covered, chosen = toxic == 1, np.zeros(len(rows), int), []
+    in_clean = np.bincount(term[~bad[doc]], minlength=terms)
+    open_ = np.ones(terms, bool)
+    while True:
+        left = bad & (covered < COVER)
+        seen = np.bincount(term[left[doc]], minlength=terms)
+        z = np.where(open_ & (seen >= UNLIKE), _stands_out(seen, in_clean, int(left.sum()), int((~bad).sum())), 0)
+        best = int(z.argmax())
+        if z[best] < LEAST_Z:
+            return np.array(sorted(chosen), int)
+        open_[best] = False
+        own = doc[term == best]
+        _, copies = np.unique(like[own[left[own]]], return_counts=True)
+        if copies.sum() ** 2 / (copies.astype(float) ** 2).sum() >= UNLIKE:
+            chosen.append(best)
+            covered[own] += 1
 
 
 def _sigmoid(x):
@@ -177,11 +211,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "do
     marked = docs.join(F.broadcast(chosen), "doc_id", "left")  # about 2 * sample rows
     terms = _terms(marked, "text")
     known = _features(marked.where("toxic is not null"), terms, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = known.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in ("n_words", "at", "counts", "toxic")]).orderBy("doc_id").collect()
+    rows = known.groupBy("doc_id").agg(F.max(F.struct("n_words", "like", "at", "counts", "toxic")).alias("row")).orderBy("doc_id").select("row.*").collect()
     toxic = np.array([r["toxic"] for r in rows], int)
     if not len(terms) or not 0 < toxic.sum() < len(toxic):
         return Model(np.zeros(0, np.uint64), np.zeros(1), np.arange(6.0, 6.0 + GRADES - 1))
-    known = [(r["at"], r["counts"][: len(r["at"])], r["n_words"]) for r in rows]
+    kept = _explaining(rows, toxic, len(terms))
+    if not len(kept):
+        return Model(np.zeros(0, np.uint64), np.zeros(1), np.arange(6.0, 6.0 + GRADES - 1))
+    place = {old: new for new, old in enumerate(kept.tolist())}
+    known = []
+    for r in rows:
+        own = [(place[a], c) for a, c in zip(r["at"], r["counts"]) if a in place]
+        known.append(([a for a, _ in own], [c for _, c in own], r["n_words"]))
+    terms = terms[kept]
     density = np.array([100 * sum(c) / max(n, 1) for _, c, n in known])
     bands = np.quantile(density[toxic == 1], np.arange(1, GRADES - 1) / (GRADES - 1))
     grade = np.where(toxic == 1, 1 + np.searchsorted(bands, density, side="right"), 0)
