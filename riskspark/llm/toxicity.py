@@ -28,8 +28,10 @@ GRADES = 4
 #: Candidate words; the terms are chosen among them.
 TERMS = 4_000
 #: Terms that explain a toxic row, and the least number of unlike rows that show a term.
-COVER = 8
+COVER = 3
 UNLIKE = 5
+#: The share of unlike rows from which a word of toxic rows only is a term anyway.
+UNLIKE_SHARE = 0.5
 #: Standard errors by which a word's share in toxic rows must exceed that in clean rows.
 LEAST_Z = 5.0
 REJECT_AT = 0.5
@@ -143,13 +145,18 @@ def _explaining(rows: list, toxic: np.ndarray, terms: int) -> np.ndarray:
         z = np.where(open_ & (seen >= UNLIKE), _stands_out(seen, in_clean, int(left.sum()), int((~bad).sum())), 0)
         best = int(z.argmax())
         if z[best] < LEAST_Z:
-            return np.array(sorted(chosen), int)
+            break
         open_[best] = False
         own = doc[term == best]
         _, copies = np.unique(like[own[left[own]]], return_counts=True)
         if copies.sum() ** 2 / (copies.astype(float) ** 2).sum() >= UNLIKE:
             chosen.append(best)
             covered[own] += 1
+    seen = np.bincount(term[bad[doc]], minlength=terms)
+    pairs = np.unique(np.stack([term[bad[doc]], like[doc[bad[doc]]]]), axis=1)
+    unlike = np.bincount(pairs[0].astype(int), minlength=terms)
+    only = (in_clean == 0) & (unlike >= np.maximum(UNLIKE, UNLIKE_SHARE * seen)) & (_stands_out(seen, in_clean, int(bad.sum()), int((~bad).sum())) >= LEAST_Z)
+    return np.union1d(np.array(chosen, int), np.flatnonzero(only))
 
 
 def _sigmoid(x):
