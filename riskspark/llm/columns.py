@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 U64 = np.uint64
 #: Odd multiplier of the rolling hash and its inverse modulo 2**64.
 _R = 0x9E3779B97F4A7C15
@@ -18,10 +18,26 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def small_batches(batches, column: str, limit: int = BLOCK_BYTES):
+_KEPT: dict[str, object] = {}
+
+
+def worker_kept(name: str | None, make=None):
+    """An object that a worker process keeps from task to task. Workers are reused by
+    later stages, so what another kind of task has kept is dropped."""
+    for other in [k for k in _KEPT if k != name]:
+        del _KEPT[other]
+    if name is not None and name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT.get(name)
+
+
+def small_batches(batches, column: str, limit: int = BLOCK_BYTES, keep: str | None = None):
     """Cut record batches so that one slice holds about ``limit`` bytes of a string
     column (a longer text makes a slice of its own): a task's memory is bounded by
-    the slice and the longest text, not by the batch the reader chose."""
+    the slice and the longest text, not by the batch the reader chose. ``keep`` names
+    what the task wants to find kept (see ``worker_kept``)."""
+    if keep is None:
+        worker_kept(None)
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -29,7 +29,7 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, key: str = "doc_id
     def run(batches):
         part, row, at = TaskContext.get().partitionId(), 0, 0
         end = np.array([end_id], encoder(path).dtype).tobytes()
-        for batch in small_batches(batches, text):
+        for batch in small_batches(batches, text, keep="tokens"):
             coded, dtype = encoded(batch, text, path)
             coded = [x + end for x in coded]
             n = np.array([len(x) // dtype.itemsize for x in coded], np.int64)

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -172,9 +171,8 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
-@cache
 def pieces(path: str, unigram: bool) -> Pieces:
-    return Pieces(path, unigram)
+    return columns.worker_kept(f"pieces:{path}:{unigram}", lambda: Pieces(path, unigram))
 
 
 def encode(docs: DataFrame, path: str | None = None, unigram: bool = False, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -184,7 +182,7 @@ def encode(docs: DataFrame, path: str | None = None, unigram: bool = False, key:
 
     def run(batches):
         coder = pieces(path, unigram)
-        for batch in columns.small_batches(batches, text, 2 << 20):
+        for batch in columns.small_batches(batches, text, keep="pieces"):
             ids = coder.encode([t or "" for t in batch.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"])
 

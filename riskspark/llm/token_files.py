@@ -119,7 +119,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
     def run(batches):
         task, writer, size = TaskContext.get(), None, 0
         shard = task.partitionId()
-        for batch in small_batches(batches, text):
+        for batch in small_batches(batches, text, keep="tokens"):
             if writer is None:
                 where, name = _open(f"{folder}/shard-{shard:06d}-{task.taskAttemptId()}.s8b")
                 where.create_dir(name.rpartition("/")[0], recursive=True)

@@ -16,6 +16,8 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
+from riskspark.llm.columns import worker_kept
+
 VOCABULARY = "byte_bpe_50k.json"
 #: Words that a worker keeps: those of a full table that are used again go into the next.
 KEPT = 300_000
@@ -97,10 +99,9 @@ class Encoder:
         return [first + b"".join(map(get, p[1:])) if ok else next(odd) for p, first, ok in zip(parts, firsts, plain)]
 
 
-@cache
 def encoder(path: str) -> Encoder:
-    """One encoder a worker process, kept between its tasks."""
-    return Encoder(path)
+    """One encoder a worker process, kept between tasks that encode."""
+    return worker_kept(f"tokens:{path}", lambda: Encoder(path))
 
 
 def encoded(batch: pa.RecordBatch, column: str, path: str) -> tuple[list[bytes], np.dtype]:
