@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskspark.operators import calendar as cal, ranking as rk, rolling as ro
 
-BOOST_FROM = 100  # shock events from which boosting replaces the forest
-
 
 def training_rows(frame: DataFrame, features: list[str], target: str) -> DataFrame:
     """Complete rows with tomorrow's shock as the label."""
@@ -30,10 +28,11 @@ def balanced(df: DataFrame) -> DataFrame:
     return df.withColumn("weight", F.when(F.col("label") == 1, pos).otherwise(neg))
 
 
-def classifier(events: int, trees: int = 200, depth: int = 4, rounds: int = 40, seed: int = 42):
+def classifier(kind: str = "forest", trees: int = 200, depth: int = 4, seed: int = 42):
+    """A forest of ``trees`` trees, or ``kind="boosting"`` with as many rounds."""
     common = dict(featuresCol="features", labelCol="label", weightCol="weight", maxDepth=depth, seed=seed)
-    if events >= BOOST_FROM:
-        return GBTClassifier(maxIter=rounds, stepSize=0.05, **common)
+    if kind == "boosting":
+        return GBTClassifier(maxIter=trees, stepSize=0.05, **common)
     return RandomForestClassifier(numTrees=trees, **common)
 
 
@@ -44,7 +43,6 @@ def score(model, df: DataFrame) -> DataFrame:
 def walk_forward(rows: DataFrame, folds: int = 3, trees: int = 200) -> DataFrame:
     """Out-of-fold shock probabilities; every fold trains on its own past only."""
     split = cal.walk_forward(rows, ["series"], folds)
-    events = rows.filter("label = 1").count()
     parts = []
     for k in range(folds):
         fold = split.filter(F.col("fold") == k)
@@ -52,8 +50,10 @@ def walk_forward(rows: DataFrame, folds: int = 3, trees: int = 200) -> DataFrame
         seen = {row[0] for row in train.select("label").distinct().collect()}
         if len(seen) < 2:
             continue
-        model = classifier(events, trees).fit(balanced(train))
+        model = classifier(trees=trees).fit(balanced(train))
         parts.append(score(model, fold.filter("NOT is_train")).select("fold", "date", "label", "p"))
+    if not parts:  # no fold whose past holds both classes
+        return split.filter("false").select("fold", "date", "label", F.lit(None).cast("double").alias("p"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

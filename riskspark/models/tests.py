@@ -56,6 +56,10 @@ def chi2_yates(df: DataFrame, a, b) -> DataFrame:
     return t.select(F.try_divide(total * gap * gap, den).alias("chi2"), total.alias("n"))
 
 
+def _squares(x, mean):
+    return F.aggregate(x, F.lit(0.0), lambda a, e: a + (e - mean) * (e - mean))
+
+
 def bootstrap_t(df: DataFrame, group: str, value: str, first: str, second: str, draws: int = 1000, size: int = 5,
                 seed: int = 42) -> DataFrame:
     """Repeated small samples: mean t statistic and share with p < .05. Draws are
@@ -69,15 +73,24 @@ def bootstrap_t(df: DataFrame, group: str, value: str, first: str, second: str,
     ask = sizes.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn(
         "slot", F.explode(F.sequence(F.lit(1), F.lit(size))))
     ask = ask.withColumn("pos", (F.pmod(F.xxhash64("arm", "draw", "slot", F.lit(seed)), F.col("n")) + 1).cast("int"))
-    s = ask.join(pop, ["arm", "pos"]).groupBy("draw").agg(*[
-        f(F.when(F.col("arm") == arm, F.col("v"))).alias(n) for arm, x in ((first, "1"), (second, "2"))
-        for f, n in ((F.avg, f"m{x}"), (F.var_samp, f"v{x}"))])
+    # The few values of a draw are folded in slot order: sums in the order of arrival
+    # would differ in their last bit from run to run.
+    held = ask.join(pop, ["arm", "pos"]).groupBy("draw").agg(*[
+        F.array_sort(F.collect_list(F.when((F.col("arm") == arm) & F.col("v").isNotNull(), F.struct("slot", "v")))).alias(n)
+        for arm, n in ((first, "x1"), (second, "x2"))])
+    zero, cols = F.lit(0.0), {}
+    for i in "12":
+        x = F.transform(f"x{i}", lambda e: e["v"])
+        mean = F.try_divide(F.aggregate(x, zero, lambda a, e: a + e), F.size(x))
+        cols[f"m{i}"] = mean
+        cols[f"v{i}"] = F.try_divide(_squares(x, mean), F.nullif(F.size(x) - 1, F.lit(0)))
+    s = held.select("draw", *[c.alias(n) for n, c in cols.items()])
     t = F.try_divide(F.col("m1") - F.col("m2"), F.sqrt((F.col("v1") + F.col("v2")) / size))
 
     @F.pandas_udf("double")
     def p(ts: pd.Series) -> pd.Series:
         return ts.map(lambda x: dist.t_sf2(x, 2 * size - 2) if pd.notna(x) else None)
 
-    return s.select(t.alias("t")).agg(F.avg("t").alias("mean_t"),
+    return s.select(t.alias("t")).agg(F.avg(F.col("t").cast("decimal(38,18)")).cast("double").alias("mean_t"),
                                       F.avg((p("t") < 0.05).cast("double")).alias("share_significant"),
                                       F.count(F.lit(1)).alias("draws"))

@@ -253,8 +253,9 @@ def crosstab(s, d):
 
 
 @query("argmin_date", """
-    SELECT domain, arg_min(date, sentiment_score) AS date, round(min(sentiment_score), 6) + 0.0 AS sentiment_score
-    FROM c_dom GROUP BY 1""")
+    SELECT domain, date, round(sentiment_score, 6) + 0.0 AS sentiment_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY domain ORDER BY sentiment_score, date) AS place
+        FROM c_dom WHERE sentiment_score IS NOT NULL) WHERE place = 1""")
 def argmin_date(s, d):
     first = F.min(F.when(F.col("sentiment_score").isNotNull(), F.struct("sentiment_score", "date"))).alias("m")
     t = x.domain_days(s, d).groupBy("domain").agg(first)

@@ -21,9 +21,9 @@ def norm_schema_drift(s, d):
     return rounded(t, "tone_score")
 
 
-@query("norm_force_domain", "SELECT article_id, 'technology' AS domain FROM c_articles WHERE domain = 'technology'")
+@query("norm_force_domain", "SELECT article_id, domain FROM c_articles")
 def norm_force_domain(s, d):
-    return nz.standard_feed(_feed(s, d, "technology"), "technology").select("article_id", "domain")
+    return nz.union_feeds([nz.standard_feed(_feed(s, d, g), g).select("article_id", "domain") for g in K.DOMAINS])
 
 
 @query("norm_canonical_headline", """SELECT article_id, CASE WHEN article_id % 2 = 0 THEN upper(headline)

@@ -17,7 +17,7 @@ DELAY = "1 day"
 
 def _events(s, d):
     schema = fx.table(s, d, "events").schema
-    e = inc.read_landed(s, d, schema, "events.parquet")
+    e = inc.read_landed(s, d, schema, "events")
     score = F.least(F.abs(F.col("value")) / 101, F.lit(1.0))
     label = F.when(F.col("event_type") == "click", "positive").when(F.col("event_type") == "error", "negative").otherwise("neutral")
     probs = nz.derive_probs(label, score)
@@ -47,27 +47,23 @@ def stream_daily_sentiment(s, d):
 
 CTES["c_inc0"] = "SELECT ticker, date, price, ln(price / lag(price) OVER (PARTITION BY ticker ORDER BY date)) AS ret FROM c_prices"
 CTES["c_inc"] = """SELECT * FROM (SELECT ticker, date, price, CASE WHEN count(ret) OVER w >= 2 THEN stddev_samp(ret) OVER w END AS vol5
-    FROM c_inc0 WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
-    WHERE date >= (SELECT max(date) - 365 FROM c_prices)"""
+    FROM c_inc0 WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))"""
 
 
 @query("inc_update_prices", f"SELECT ticker, date, {R('price')} AS price, {R('vol5')} AS vol5 FROM c_inc")
 def inc_update_prices(s, d):
-    """Prices appended from landed trades, then five-row volatility of the last year
-    recomputed with the rows before it as warm-up."""
+    """Sums of landed trades per batch, merged on read into prices, then five-row volatility."""
     sink, ck = scratch_path(s, "price_sink"), scratch_path(s, "ck")
     part = fx.table(s, d, "part").select("p_partkey", fx._ticker().alias("ticker"))
-    stream = inc.read_landed(s, d, fx.table(s, d, "lineitem").schema, "lineitem.parquet")
+    stream = inc.read_landed(s, d, fx.table(s, d, "lineitem").schema, "lineitem")
 
     def shape(batch):
         t = batch.select("l_partkey", F.to_date("l_shipdate").alias("date"), "l_quantity", "l_extendedprice").filter(
             dates.is_weekday(F.col("date"))).join(part, F.col("l_partkey") == F.col("p_partkey"))
-        return t.groupBy("ticker", "date").agg((F.sum("l_extendedprice") / F.sum("l_quantity")).alias("price"))
+        return t.groupBy("ticker", "date").agg(F.sum("l_extendedprice").alias("amount"), F.sum("l_quantity").alias("quantity"))
 
-    stored = inc.update_prices(s, stream, shape, sink, ck, schemas.PRICES)
-    since = stored.select(F.date_sub(F.max("date"), 365)).scalar()
-    t = inc.tail_history(stored, since, 20).withColumn("ret", ro.log_return("price", "ticker"))
-    t = t.withColumn("vol5", ro.roll_std("ret", 5, 2, "ticker")).filter(F.col("date") >= since)
+    stored = inc.update_prices(s, stream, shape, sink, ck)
+    t = stored.withColumn("ret", ro.log_return("price", "ticker")).withColumn("vol5", ro.roll_std("ret", 5, 2, "ticker"))
     return rounded(t.select("ticker", "date", "price", "vol5"), "price", "vol5")
 
 
@@ -90,7 +86,7 @@ def inc_resume(s, d):
                                F.col("o_orderkey").alias("article_id"))
     each = inc.append_new(sink, ["headline"], [F.col("article_id")], schema, shape)
     for _ in range(2):
-        inc.run_once(inc.read_landed(s, d, fx.table(s, d, "orders").schema, "orders.parquet"), ck, each)
+        inc.run_once(inc.read_landed(s, d, fx.table(s, d, "orders").schema, "orders"), ck, each)
     return s.read.schema(schema).parquet(sink).select("headline", "article_id")
 
 

@@ -87,7 +87,7 @@ def m1_shock_classifier(s, d):
 @query("m1_importance")
 def m1_importance(s, d):
     rows, f = _m1_rows(s, d)
-    model = sk.classifier(rows.filter("label = 1").count()).fit(sk.balanced(rows))
+    model = sk.classifier().fit(sk.balanced(rows))
     return sk.importances(model, f, s)
 
 

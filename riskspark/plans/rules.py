@@ -126,7 +126,7 @@ def serving_view(s, d):
     frame = day_frame(s, d)
     names = fr.shock_features("tech")
     rows = materialise(sk.training_rows(frame, names, "shock_tech"), "m1")
-    model = sk.classifier(rows.filter("label = 1").count()).fit(sk.balanced(rows))
+    model = sk.classifier().fit(sk.balanced(rows))
     last = sk.score(model, rows).select("date", F.lit(1).alias("_k"), "p")
     shock = sv.latest_value(last, "_k", "date", "p").select(
         F.col("p").alias("shock_probability"), F.lit(0.5).alias("threshold"))

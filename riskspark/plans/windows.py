@@ -249,7 +249,8 @@ def recovery_days(s, d):
 
 
 @query("post_shock_norm", f"""
-    WITH s AS (SELECT arg_min(date, sentiment_score) AS d0 FROM c_dom WHERE domain = 'geopolitical'),
+    WITH s AS (SELECT date AS d0 FROM c_dom WHERE domain = 'geopolitical' AND sentiment_score IS NOT NULL
+        ORDER BY sentiment_score, date LIMIT 1),
     a AS (SELECT portfolio, date, vol5, row_number() {PF} - 1 AS day, first_value(vol5) {PF} AS base
           FROM c_pf, s WHERE date >= d0)
     SELECT portfolio, day::INT AS day, date, {R('vol5 / base')} AS relative FROM a WHERE day < 15""")

@@ -11,10 +11,11 @@ from pyspark.sql import types as T
 from riskspark.operators import normalise as nz
 
 
-def read_landed(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
-                files_per_batch: int = 1000) -> DataFrame:
-    return (spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-            .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
+def read_landed(spark: SparkSession, folder: str, schema: T.StructType, table: str, files_per_batch: int = 1000) -> DataFrame:
+    """Stream a landed table, which may be one file ``<table>.parquet`` or a folder of
+    files of that name (a pattern, as a plain path would have to be a folder)."""
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+            .parquet(f"{folder}/{table}.parque[t]"))
 
 
 def run_once(stream: DataFrame, checkpoint: str, each) -> None:
@@ -46,12 +47,16 @@ def append_new(path: str, keys: list[str], order: list[Column], schema: T.Struct
     return each
 
 
-def update_prices(spark: SparkSession, stream: DataFrame, shape, sink: str, checkpoint: str,
-                  schema: T.StructType) -> DataFrame:
-    """Append (ticker, date) prices not stored yet and return the stored table."""
-    each = append_new(sink, ["ticker", "date"], [F.col("price")], schema, shape)
+def update_prices(spark: SparkSession, stream: DataFrame, shape, sink: str, checkpoint: str) -> DataFrame:
+    """Store each batch's sums (ticker, date, amount, quantity) and return the prices of
+    all batches: sums merge, so a day whose trades land in several batches comes out
+    as if it had landed at once. A repeated batch overwrites its own folder."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        shape(batch).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
     run_once(stream, checkpoint, each)
-    return spark.read.schema(schema).parquet(sink).select(*schema.fieldNames())
+    merged = spark.read.parquet(sink).groupBy("ticker", "date").agg(F.sum("amount").alias("amount"), F.sum("quantity").alias("quantity"))
+    return merged.select("ticker", "date", F.try_divide("amount", "quantity").alias("price"))
 
 
 def tail_history(stored: DataFrame, since: dt.date | Column, rows: int, key: str = "ticker") -> DataFrame:

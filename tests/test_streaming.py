@@ -9,21 +9,31 @@ from riskspark.operators import rolling as ro
 from riskspark.streaming import incremental as inc
 
 
+SUMS = "ticker string, date date, amount double, quantity double"
+
+
+def trades(spark, first, n, tickers=("a", "b")):
+    rows = [(t, dt.date(2024, 1, 1) + dt.timedelta(days=first + i), 10.0 * (i + k), 1.0 + k) for t in tickers for i in range(n) for k in range(3)]
+    return spark.createDataFrame(rows, SUMS)
+
+
 def prices(spark, first, n, tickers=("a", "b")):
     rows = [(t, dt.date(2024, 1, 1) + dt.timedelta(days=first + i), 100.0 + 3 * i % 7 + len(t)) for t in tickers for i in range(n)]
     return spark.createDataFrame(rows, schemas.PRICES)
 
 
 def test_append_in_two_landings(spark, tmp_path):
-    land, sink, ck = (str(tmp_path / n) for n in ("land", "sink", "ck"))
-    prices(spark, 0, 10).write.mode("append").parquet(land)
-    run = lambda: inc.update_prices(spark, inc.read_landed(spark, land, schemas.PRICES), lambda b: b, sink, ck, schemas.PRICES)
+    land, sink, ck = str(tmp_path), str(tmp_path / "sink"), str(tmp_path / "ck")
+    schema = trades(spark, 0, 1).schema
+    sums = lambda b: b.groupBy("ticker", "date").agg(F.sum("amount").alias("amount"), F.sum("quantity").alias("quantity"))
+    run = lambda: inc.update_prices(spark, inc.read_landed(spark, land, schema, "trades", 1), sums, sink, ck)
+    trades(spark, 0, 10).repartition(4).write.parquet(f"{land}/trades.parquet")
     assert run().count() == 20
-    prices(spark, 8, 5).write.mode("append").parquet(land)
-    stored = run()
-    assert stored.count() == 26
-    assert stored.select("ticker", "date").distinct().count() == 26
-    assert run().count() == 26
+    trades(spark, 8, 5).write.mode("append").parquet(f"{land}/trades.parquet")
+    whole = spark.read.parquet(f"{land}/trades.parquet").groupBy("ticker", "date").agg(F.sum("amount") / F.sum("quantity"))
+    for _ in range(2):
+        stored = run()
+        assert {tuple(r) for r in stored.collect()} == {tuple(r) for r in whole.collect()} and stored.count() == 26
 
 
 def test_repeated_batch_is_idempotent(spark, tmp_path):
