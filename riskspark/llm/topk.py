@@ -2,7 +2,9 @@
 
 The dimensions are split into ``LISTS`` ranges; a row's score is the sum of its
 entries in the ranges' score lists. Phase one gathers each list's k best entries of
-every block and derives, for each query, a score that k rows surely reach. Phase
+every block with the rows' sums and derives, for each query, a score that k rows
+surely reach (sums of entries and floors alone are weak where entries are negative;
+few lists keep the even shares high for the same reason). Phase
 two sends the cutoff back: a row that reaches that score has, in one list at least,
 an even share of it above the list's floor, so only such entries are collected.
 Their bounds raise the sure score, and what may still reach it is resolved from the
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from riskspark.common import materialise
 from riskspark.llm import vectors
 
-LISTS = 4
+LISTS = 2
 BLOCK_ROWS = 512
 QUERY_ROWS = 256
 SCALE = 256
@@ -47,7 +49,7 @@ def _gather(pairs: DataFrame, k: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for queries, ids, own, lists, _ in _pairs(batch):
-                out = []
+                out, total = [], sum(lists)
                 for number, s in enumerate(lists):
                     floor = s.min(1)
                     s = np.where(own, np.iinfo(np.int64).min, s)
@@ -56,10 +58,10 @@ def _gather(pairs: DataFrame, k: int) -> DataFrame:
                     who = np.arange(len(queries)).repeat(n)
                     at = top.ravel()
                     kept = ~own[who, at]
-                    out.append((queries[who[kept]], np.full(kept.sum(), number, np.int32), ids[at[kept]], s[who[kept], at[kept]], floor[who[kept]]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "list", "vec_id", "entry", "floor"])
+                    out.append((queries[who[kept]], np.full(kept.sum(), number, np.int32), ids[at[kept]], s[who[kept], at[kept]], floor[who[kept]], total[who[kept], at[kept]]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "list", "vec_id", "entry", "floor", "total"])
 
-    return pairs.mapInArrow(run, "query_id long, list int, vec_id long, entry long, floor long")
+    return pairs.mapInArrow(run, "query_id long, list int, vec_id long, entry long, floor long, total long")
 
 
 def _collect(pairs: DataFrame) -> DataFrame:
@@ -110,9 +112,7 @@ def search(df: DataFrame, every: int = 50, k: int = 5, scale: int = SCALE, key:
     top = gathered.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
     per_query = floors.groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("list", "floor"))).alias("floors"))
     all_floors = F.aggregate(F.map_values("floors"), F.lit(0).cast("long"), lambda a, x: a + x)
-    seen = top.join(floors.withColumnRenamed("floor", "least"), ["query_id", "list"]).groupBy("query_id", "vec_id").agg(
-        F.sum(F.col("entry") - F.col("least")).alias("over"))
-    seen = seen.join(per_query.select("query_id", all_floors.alias("base")), "query_id").withColumn("low", F.col("over") + F.col("base"))
+    seen = top.groupBy("query_id", "vec_id").agg(F.max("total").alias("low"))
     # An entry must exceed its floor by a share of (sure - base), rounded up.
     cut = per_query.join(_sure(seen, k), "query_id", "left").withColumn("base", all_floors)
     share = F.ceil((F.col("sure") - F.col("base")) / F.lit(lists)).cast("long") - 1  # one less: safe from rounding of the quotient
