@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from riskspark.llm.tokens import vocabulary_path
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-KEPT = 400_000
+KEPT = 300_000
 LONGEST_KEPT = 64
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -42,12 +43,23 @@ class Pieces:
         special = {i for i in range(n) if model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)}
         self.ids = {self.surface[i]: i for i in range(n) if i not in special}
         self.score = [model.get_score(i) for i in range(n)]
-        self.longest = max(map(len, self.ids), default=1)
+        self.prefixes = [""]
+        self.state_of = {"": 0}
+        for piece in self.ids:
+            for size in range(1, len(piece) + 1):
+                if piece[:size] not in self.state_of:
+                    self.state_of[piece[:size]] = len(self.prefixes)
+                    self.prefixes.append(piece[:size])
+        self.moves: list[dict[str, int]] = [{} for _ in self.prefixes]
+        self.ends: list[list[tuple[int, int]] | None] = [None] * len(self.prefixes)
         self.unknown_score = min((self.score[i] for i in self.ids.values()), default=0.0) - 10.0
         self.hidden = {i: "" for i in special - set(self.bytes.values())}
+        self.odd = np.zeros(n, bool)
+        self.odd[[*self.hidden, *self.byte_of]] = True
         self.apart_cache: dict[tuple[int, int], bool] = {}
         self.whole_cache: dict[int, bool] = {}
-        self.kept: dict[str, tuple[int, ...]] = {}
+        self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[int]:
         """Pair merging by the plain rule: the best-scored neighbours first, from the left.
@@ -79,28 +91,36 @@ class Pieces:
             known = self.whole_cache[piece] = self.merge(self.surface[piece]) == [piece]
         return known
 
-    def _merged(self, table: list, word: str, i: int) -> tuple[int, int, float]:
-        for size in range(min(self.longest, i), 0, -1):
-            piece = self.ids.get(word[i - size : i])
-            if piece is not None and self._own(piece):
-                before = table[i - size]
-                if before is None or self._apart(before[0], piece):
-                    return piece, size, 0.0
+    def _move(self, state: int, char: str) -> int:
+        """The longest end of a text that begins some piece, one character on."""
+        text = self.prefixes[state] + char
+        while text and text not in self.state_of:
+            text = text[1:]
+        to = self.moves[state][char] = self.state_of[text]
+        if self.ends[to] is None:
+            found = [(self.ids.get(text[-size:], -1), size) for size in range(len(text), 0, -1)]
+            self.ends[to] = [(p, size) for p, size in found if p >= 0 and (self.unigram or self._own(p))]
+        return to
+
+    def _merged(self, table: list, ends: list, i: int, char: str) -> tuple[int, int, float]:
+        for piece, size in ends:
+            before = table[i - size]
+            if before is None or self._apart(before[0], piece):
+                return piece, size, 0.0
         return -1, 1, 0.0
 
-    def _best(self, table: list, word: str, i: int) -> tuple[int, int, float]:
-        out = (-1, 1, (table[i - 1][2] if i > 1 else 0.0) + self.unknown_score) if word[i - 1] not in self.ids else None
-        for size in range(min(self.longest, i), 0, -1):
-            piece = self.ids.get(word[i - size : i])
-            if piece is not None:
-                total = (table[i - size][2] if i > size else 0.0) + self.score[piece]
-                if out is None or total > out[2]:
-                    out = (piece, size, total)
+    def _best(self, table: list, ends: list, i: int, char: str) -> tuple[int, int, float]:
+        out = (-1, 1, (table[i - 1][2] if i > 1 else 0.0) + self.unknown_score) if char not in self.ids else None
+        for piece, size in ends:
+            total = (table[i - size][2] if i > size else 0.0) + self.score[piece]
+            if out is None or total > out[2]:
+                out = (piece, size, total)
         return out
 
     def walk(self, words: list[str]):
         """Yield (word, ids) of sorted words, sharing the table of common prefixes."""
-        table, last = [None], ""
+        table, states, last = [None], [0], ""
+        moves, ends = self.moves, self.ends
         step = self._best if self.unigram else self._merged
         for word in words:
             shared = 0
@@ -108,26 +128,30 @@ class Pieces:
                 if a != b:
                     break
                 shared += 1
-            del table[shared + 1 :]
-            for i in range(shared + 1, len(word) + 1):
-                table.append(step(table, word, i))
+            del table[shared + 1 :], states[shared + 1 :]
+            state = states[shared]
+            for i, char in enumerate(word[shared:], shared + 1):
+                to = moves[state].get(char)
+                state = self._move(state, char) if to is None else to
+                states.append(state)
+                table.append(step(table, ends[state] or (), i, char))
             last, i, back = word, len(word), []
             while i:
                 piece, size, _ = table[i]
                 back.append(piece if piece >= 0 else word[i - 1])
                 i -= size
-            yield word, self._numbers(reversed(back))
+            yield word, self._numbers(back[::-1])
 
-    def _numbers(self, parts) -> tuple[int, ...]:
-        out = []
+    def _numbers(self, parts: list) -> array:
+        out = array("i")
         for p in parts:
             if isinstance(p, int):
                 out.append(p)
             elif self.bytes:
-                out += [self.bytes[b] for b in p.encode("utf-8", "surrogatepass")]
+                out.extend(self.bytes[b] for b in p.encode("utf-8", "surrogatepass"))
             else:
                 out.append(self.unknown)
-        return tuple(out)
+        return out
 
     def units(self, text: str) -> list[str]:
         """Marked words: a run of marks and what follows up to the next mark."""
@@ -139,9 +163,11 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.kept) > KEPT:
-            self.kept.clear()
+            self.older, self.kept = self.kept, {}
         units = [self.units(t) for t in texts]
-        new, own = sorted(set().union(*units).difference(self.kept)) if units else [], {}
+        new, own = set().union(*units).difference(self.kept), {}
+        self.kept.update((w, self.older[w]) for w in new if w in self.older)
+        new = sorted(w for w in new if w not in self.kept)
         runs = [w for w in new if w.startswith(MARK * 2) and not self.unigram]
         for w in runs:  # merges of marks alone tie in score, so their order matters
             parts, text = self.merge(w), w
@@ -151,12 +177,17 @@ class Pieces:
                 at += len(self.surface[p]) if p >= 0 else 1
             own[w] = self._numbers(out)
         own.update(self.walk([w for w in new if w not in own]))
+        own = {w: x.tobytes() for w, x in own.items()}
         self.kept.update((w, x) for w, x in own.items() if len(w) <= LONGEST_KEPT)
-        get = lambda w: own[w] if w in own else self.kept[w]
-        return [np.array([i for w in u for i in get(w)], np.int32) for u in units]
+        long = {w: x for w, x in own.items() if len(w) > LONGEST_KEPT}
+        get = self.kept.__getitem__ if not long else lambda w: long[w] if w in long else self.kept[w]
+        return [np.frombuffer(b"".join(map(get, u)), np.int32) for u in units]
 
     def decode(self, ids: np.ndarray) -> str:
         out, held = [], bytearray()
+        if not self.odd[ids].any():
+            out = map(self.surface.__getitem__, ids.tolist())
+            ids = ids[:0]
         for i in ids.tolist():
             if i in self.byte_of:
                 held.append(self.byte_of[i])
