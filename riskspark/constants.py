@@ -95,6 +95,5 @@ LEXICON = {
     "loss": -1.3, "crash": -1.7, "war": -2.9, "weak": -1.9, "risk": -1.1,
     "fear": -2.2, "fraud": -2.8, "attack": -2.1, "crisis": -3.1, "bad": -2.5,
     "stupid": -2.4, "worthless": -1.9, "idiot": -2.3, "hate": -2.7,
-    "pour": 0.2, "with": 0.1, "was": -0.1, "nicht": -0.4, "pas": -0.4,
 }
 LEXICON_ALPHA = 15.0

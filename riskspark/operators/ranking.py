@@ -1,29 +1,37 @@
 """Ordered aggregates that never put one group's rows in one task.
 
 Rows are first combined to distinct values (a value held by a third of all rows
-becomes one row). Values are cut into ordered buckets at approximate quantiles,
-bucket totals are accumulated over at most ``buckets`` rows per group, and running
+becomes one row) and written once. Values are cut into ordered buckets at approximate
+quantiles, as many as keep a bucket near BUCKET_ROWS values; bucket totals are
+accumulated over one row per bucket, and running
 totals inside a bucket start from the bucket's offset. Results are exact: the
 approximation only decides where buckets are cut.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-BUCKETS = 64
+from riskspark.common import materialise
+
+BUCKET_ROWS = 200_000
 
 
 def running_totals(df: DataFrame, keys: list[str], value: str, aggs: dict[str, Column],
-                   buckets: int = BUCKETS) -> DataFrame:
+                   bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Distinct values per key with their totals and ``cum_*`` totals up to and
     including the value, in ascending order, plus ``all_*`` totals of the key."""
     tag = keys or ["_all"]
     base = df if keys else df.withColumn("_all", F.lit(1))
     base = base.filter(F.col(value).isNotNull())
     distinct = base.groupBy(*tag, value).agg(*[c.alias(n) for n, c in aggs.items()])
+    distinct = materialise(distinct, "distinct-values")
+    most = distinct.groupBy(*tag).count().agg(F.max("count")).first()[0] or 0
+    buckets = max(math.ceil(most / bucket_rows), 2)
     cuts = [F.lit(i / buckets) for i in range(1, buckets)]
-    splits = distinct.groupBy(*keys).agg(F.percentile_approx(value, F.array(*cuts), F.lit(1000)).alias("_cuts"))
+    splits = distinct.groupBy(*keys).agg(F.percentile_approx(value, F.array(*cuts), F.lit(max(1000, 16 * buckets))).alias("_cuts"))
     placed = distinct.join(splits, keys) if keys else distinct.withColumn("_cuts", splits.scalar())
     placed = placed.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
     names = list(aggs)

@@ -13,14 +13,15 @@ from riskspark import constants as K
 LABELS = ("positive", "negative", "neutral")
 
 
-def lexicon_score(df: DataFrame, key: list[str], text: str, lexicon: DataFrame, alpha: float = K.LEXICON_ALPHA) -> DataFrame:
-    """Compound score s / sqrt(s² + alpha), s the summed valence of the words. Words of
-    a text stay in its task: the lexicon join is by broadcast when small, and sums are
-    combined before the shuffle."""
-    words = df.select(*key, F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word"))
-    s = words.join(lexicon, "word").groupBy(*key).agg(F.sum("valence").alias("_s"))
-    out = df.select(*key).join(s, key, "left").withColumn("_s", F.coalesce("_s", F.lit(0.0)))
-    return out.withColumn("compound", F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + alpha)).drop("_s")
+def lexicon_score(df: DataFrame, key: list[str], text: str, lexicon: dict[str, float] = K.LEXICON,
+                  alpha: float = K.LEXICON_ALPHA) -> DataFrame:
+    """Compound score s / sqrt(s² + alpha), s the summed valence of the words. The lexicon
+    is a literal map, so each text is scored where it is read: no join and no shuffle.
+    A NULL or empty text scores 0."""
+    valence = F.create_map(*[F.lit(x) for item in lexicon.items() for x in item])
+    words = F.coalesce(F.split(F.lower(text), r"[^\p{L}]+"), F.array().cast("array<string>"))
+    s = F.aggregate(words, F.lit(0.0), lambda a, w: a + F.coalesce(F.try_element_at(valence, w), F.lit(0.0)))
+    return df.select(*key, s.alias("_s")).select(*key, (F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + alpha)).alias("compound"))
 
 
 def lexicon_scorer() -> Callable[[pd.Series], np.ndarray]:

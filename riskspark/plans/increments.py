@@ -58,8 +58,8 @@ def inc_update_prices(s, d):
     stream = inc.read_landed(s, d, fx.table(s, d, "lineitem").schema, "lineitem")
 
     def shape(batch):
-        t = batch.select("l_partkey", F.to_date("l_shipdate").alias("date"), "l_quantity", "l_extendedprice").filter(
-            dates.is_weekday(F.col("date"))).join(part, F.col("l_partkey") == F.col("p_partkey"))
+        day = dates.roll_weekend(F.to_date("l_shipdate")).alias("date")
+        t = batch.select("l_partkey", day, "l_quantity", "l_extendedprice").join(part, F.col("l_partkey") == F.col("p_partkey"))
         return t.groupBy("ticker", "date").agg(F.sum("l_extendedprice").alias("amount"), F.sum("l_quantity").alias("quantity"))
 
     stored = inc.update_prices(s, stream, shape, sink, ck)

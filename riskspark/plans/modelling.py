@@ -350,7 +350,7 @@ def m6_kmeans_vectors(s, d):
     """The same clustering on a vector table of any size."""
     from pyspark.ml.functions import array_to_vector
     v = fx.table(s, d, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    rows, best = pr.choose_k(materialise_vectors(v))
+    rows, best = pr.choose_k(materialise_vectors(v), pr.squared_silhouette)
     return s.createDataFrame([(*row, row[0] == best) for row in rows],
                              "k int, silhouette double, inertia double, chosen boolean")
 
@@ -438,20 +438,24 @@ def test_chi2(s, d):
     return rounded(ts.chi2_yates(flags, F.col("a"), F.col("b")), "chi2")
 
 
-# --- text scores --------------------------------------------------------------------
+@query("test_p_values")
+def test_p_values(s, d):
+    """Statistic and tail probability of the three tests above."""
+    return ts.p_values(rk.rank_sum(_arch(s, d).filter(F.col("archetype").isin("tech", "defensive")), "ret", F.col("archetype") == "tech"),
+                       ts.anova(_arch(s, d), "archetype", "ret"),
+                       ts.chi2_yates(ts.news_market_flags(x.domain_days(s, d), x.returns(s, d)), F.col("a"), F.col("b")))
 
-def _lexicon(s):
-    return dimension(s, list(K.LEXICON.items()), "word string, valence double")
 
+# --- text scores --------------------------------------------------------------------
 
 @query("score_text_lexicon", f"""
-    WITH l AS (SELECT * FROM (VALUES {', '.join(f"('{w}', {v}::DOUBLE)" for w, v in K.LEXICON.items())}) v(word, valence)),
+    WITH l AS (SELECT * FROM (VALUES {', '.join(f"('{w}', {v}::DOUBLE)" for w, v in fx.LEXICON.items())}) v(word, valence)),
     w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}]+')) AS word FROM documents),
     c AS (SELECT doc_id, sum(valence) AS s FROM w JOIN l USING (word) GROUP BY 1)
     SELECT doc_id, source, {R('coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15)')} AS compound
     FROM documents LEFT JOIN c USING (doc_id)""")
 def score_text_lexicon(s, d):
-    t = tsx.lexicon_score(fx.table(s, d, "documents"), ["doc_id", "source"], "text", _lexicon(s))
+    t = tsx.lexicon_score(fx.table(s, d, "documents"), ["doc_id", "source"], "text", fx.LEXICON)
     return rounded(t, "compound")
 
 

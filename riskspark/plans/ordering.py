@@ -27,8 +27,8 @@ def limit_head(s, d):
                    "tone_score")
 
 
-_MEMBERS = [t for t in K.PORTFOLIOS["tech"] if t in fx.TICKERS]
-_TAIL = ", ".join([f"max(CASE WHEN ticker = '{t}' THEN {R('price', 2)} END) AS {t}" for t in _MEMBERS])
+_MEMBERS = fx.TICKERS  # of all portfolios
+_TAIL = ", ".join([f"max(CASE WHEN ticker = '{t}' THEN {R('price', 2)} END) AS \"{t}\"" for t in _MEMBERS])
 
 
 @query("tail_60", f"""

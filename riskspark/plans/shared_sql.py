@@ -35,9 +35,9 @@ def once(x: str) -> str:
 CTES = {
     "c_ticks": f"""
         SELECT coalesce(([{_list(TICKERS)}])[CAST(split_part(p_brand, '#', 2) AS INT)], p_brand) AS ticker,
-               CAST(l_shipdate AS DATE) AS date, l_quantity AS quantity, l_extendedprice AS amount,
+               CAST(l_shipdate AS DATE) + CASE isodow(l_shipdate) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END AS date, l_quantity AS quantity, l_extendedprice AS amount,
                l_orderkey, l_linenumber
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE isodow(l_shipdate) < 6""",
+        FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "c_prices": "SELECT ticker, date, sum(amount) / sum(quantity) AS price FROM c_ticks GROUP BY 1, 2",
     "c_cal": "SELECT DISTINCT date FROM c_prices",
     "c_panel": """
