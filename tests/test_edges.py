@@ -205,6 +205,36 @@ def test_chi2_with_correction(spark):
     assert chi2_yates(df, F.col("a"), F.col("b")).collect()[0]["chi2"] == pytest.approx(1.1077, abs=5e-5)
 
 
+def test_p_values_of_one_row_results(spark):
+    from riskspark.models.tests import p_values
+    z = spark.createDataFrame([(3, 4, 1.3261)], "n1 int, n2 int, z double")
+    f = spark.createDataFrame([(4.9646027, 1, 10)], "f_stat double, df_between long, df_within long")
+    c = spark.createDataFrame([(1.1077, 18.0)], "chi2 double, n double")
+    got = {r["test"]: r["p_value"] for r in p_values(z, f, c).collect()}
+    assert got["ranksum"] == pytest.approx(0.1848, abs=5e-5)
+    assert got["anova"] == pytest.approx(0.05, abs=1e-6)
+    assert got["chi2"] == pytest.approx(0.2926, abs=5e-5)
+    assert p_values(z, f, c.withColumn("chi2", F.lit(None).cast("double"))).where("test = 'chi2'").collect()[0]["p_value"] is None
+
+
+def test_lexicon_score_needs_no_shuffle(spark):
+    from riskspark.operators.textscore import lexicon_score
+    df = spark.createDataFrame([(1, "Good, good WAR"), (2, ""), (3, None), (4, "unknown words")], "id int, text string")
+    out = lexicon_score(df, ["id"], "text", {"good": 1.5, "war": -1.0})
+    got = {r["id"]: r["compound"] for r in out.collect()}
+    assert got == {1: pytest.approx(2 / 19 ** 0.5), 2: 0.0, 3: 0.0, 4: 0.0}
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rank_buckets_do_not_change_results(spark):
+    from riskspark.operators.ranking import running_totals
+    df = spark.range(1000).select((F.col("id") % 7).alias("g"), (F.col("id") * 37 % 301).cast("double").alias("v"))
+    rows = lambda n: sorted(map(tuple, running_totals(df, ["g"], "v", {"n": F.count(F.lit(1))}, bucket_rows=n).collect()))
+    assert rows(5) == rows(1_000_000)
+    empty = running_totals(df.limit(0), ["g"], "v", {"n": F.count(F.lit(1))})
+    assert empty.collect() == []
+
+
 def test_resume_keeps_rows_without_key(spark):
     a = spark.createDataFrame([(1, "u"), (2, None), (3, "v")], "id int, url string")
     done = spark.createDataFrame([("u",), ("u",)], "url string")
