@@ -174,6 +174,25 @@ def test_toxicity(spark, docs, none):
     assert toxicity.score(docs, empty).where("toxic").count() == 0
 
 
+def test_toxicity_of_copies(spark):
+    rng = np.random.default_rng(6)
+    plain = lambda: [f"w{x}" for x in rng.integers(0, 300, 40)]
+    rows, copy = [(" ".join(plain()), 0) for _ in range(400)], plain()
+    for _ in range(60):
+        w = plain()
+        w[5:8] = rng.choice(["vile", "rotten", "nasty", "awful"], 3)
+        rows.append((" ".join(w), 1))
+    rows += [(" ".join([*copy, "vile", "rotten", "nasty"]), 1)] * 240
+    df = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+    model = toxicity.fit(df, df.select("doc_id", "toxic"))
+    got = toxicity.score(df, model).join(df.select("doc_id", F.col("toxic").alias("y")), "doc_id").collect()
+    assert len(model.terms) == 4 and sum(r["toxic"] != bool(r["y"]) for r in got) <= 2
+
+    near = rows[:400] + [(" ".join([*copy[:i % 40], f"x{i % 7}", *copy[i % 40 + 1 :]]), 1) for i in range(200)]
+    df = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(near)], "doc_id long, text string, toxic int")
+    assert not len(toxicity.fit(df, df.select("doc_id", "toxic")).terms)
+
+
 def test_quality(spark, docs, none):
     df = labelled(spark, 0, 1)
     labels = df.select("doc_id", F.col("y").alias("quality"))
