@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from riskspark.common import materialise
 from riskspark.llm import jaccard, language, packing, toxicity
 
+#: Near copies share this much of their sets of so many words in a row.
+WORDS, PERCENT = 5, 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.known_language(docs, language.fit(docs))
@@ -24,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, size=WORDS, percent=PERCENT)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

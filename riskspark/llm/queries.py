@@ -82,4 +82,4 @@ SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ordered WHER
 
 @query
 def op5_jaccard(spark, sf):
-    return jaccard.classes(table(spark, sf, "documents"))
+    return jaccard.classes(table(spark, sf, "documents"), size=4, percent=85)

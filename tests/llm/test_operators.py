@@ -153,6 +153,21 @@ def test_jaccard_components(spark, docs, none):
     assert jaccard.classes(docs).count() == docs.count() and jaccard.classes(none).count() == 0
 
 
+def test_near_duplicates_of_the_pipeline(spark):
+    import corpus_pipeline
+
+    def pair(name, n, more):  # n - 4 sets of five words in both, n - 4 + more in one
+        w = [f"{name}{i}" for i in range(n + more)]
+        return [" ".join(w[:n]), " ".join(w)]
+
+    texts = pair("a", 44, 10) + pair("b", 44, 11) + pair("c", 300, 53) + pair("d", 300, 74) + pair("e", 300, 75)  # 40/50, 40/51, 296/349, 296/370, 296/371
+    edited = [f"f{i}" for i in range(1000)]
+    texts += [" ".join(edited), " ".join("x" + w if i % 47 == 9 and i < 990 else w for i, w in enumerate(edited))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()}
+    assert got == {0, 2, 3, 4, 6, 8, 9, 10}
+
+
 def labelled(spark, low, high):
     rng = np.random.default_rng(4)
     rows = []
