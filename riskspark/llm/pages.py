@@ -2,7 +2,8 @@
 
 Each page's containers are scored by the text they hold outside links; the best
 one casts a vote for its generalised tag-class path. Votes are counted per host in
-Spark, and every page of the host is read again at the winning path.
+Spark, and every page of the host is read again at the winning path, widened to the
+whole article: the vote says where the article is, not where it ends.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ MARKS = frozenset(
     "notices alert popup modal overlay newsletter subscribe signup sidebar aside widget nav navbar navigation menu breadcrumb breadcrumbs "
     "pagination pager header masthead topbar footer copyright comment comments commentlist discussion replies respond disqus share sharing "
     "social related recommended recommendations toolbar search login form".split())
+#: Below this share of the text of the page's own best place, the host's place is not the page's article.
+SMALL = 1 / 3
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACES = re.compile(r"\s+")
 
@@ -127,16 +130,52 @@ class Page(HTMLParser):
         at = max(range(len(score)), key=score.__getitem__)
         return self.paths[at], score[at]
 
+    def _sums(self, own: list[int]) -> list[int]:
+        """Of each container: the sum over it and all inside it."""
+        for i in range(len(own) - 1, 0, -1):  # a parent comes before its children
+            own[self.parents[i]] += own[i]
+        return own
+
+    def _region(self, path: str) -> list[int]:
+        """Of each container: 2 inside the article that a container with the path belongs
+        to, 1 inside the widened part of a page without articles, 0 elsewhere.
+
+        The article is the nearest article or main element, and the main element around
+        the only article. Without one, it is the outermost container that adds text
+        outside links."""
+        tags = [p.rpartition("/")[2].partition(".")[0] for p in self.paths]
+        own = [0] * len(tags)
+        for container, text, linked in self.blocks:
+            own[container] += max(len(text) - 2 * linked, 0)
+        held = self._sums(own)
+        articles = self._sums([int(t == "article" and h > 0) for t, h in zip(tags, held)])
+        inside = [0] * len(tags)
+        for i in [i for i, p in enumerate(self.paths) if p == path]:
+            above = [i]
+            while self.parents[above[-1]] >= 0:
+                above.append(self.parents[above[-1]])
+            at = next((k for k in above if tags[k] in ("article", "main")), None)
+            if at is None:
+                at = next(k for k in above if held[k] == held[above[-1]])
+                inside[at], inside[i] = max(inside[at], 1), 2
+                continue
+            main = next((k for k in above if k < at and tags[k] == "main"), at)
+            inside[main if articles[main] == articles[at] else at] = 2
+        for i in range(1, len(inside)):
+            inside[i] = max(inside[i], inside[self.parents[i]])
+        return inside
+
     def main_text(self, path: str | None) -> str:
-        """The blocks inside containers with the path, or inside the page's own best
-        container where none of them has text."""
-        for wanted in (path, self.best()[0]):
-            inside = [p == wanted for p in self.paths]
-            for i in range(1, len(inside)):  # a parent comes before its children
-                inside[i] |= inside[self.parents[i]]
-            if text := " ".join(t for c, t, _ in self.blocks if inside[c]):
-                return text
-        return ""
+        """The blocks of the article at the path, or at the page's own best container where
+        the first holds no text or a small part of what the second holds."""
+        found = []
+        best = self.best()[0]
+        for wanted in (path, best) if path != best else (best,):
+            inside = self._region(wanted)
+            kept = [(t, max(len(t) - 2 * n, 0)) for c, t, n in self.blocks if inside[c] == 2 or inside[c] and len(t) > 2 * n]
+            found.append((" ".join(t for t, _ in kept), sum(v for _, v in kept)))
+        (text, value), (other, most) = found[0], found[-1]
+        return text if text and value >= SMALL * most else other
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -163,7 +202,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars, path) of every row of (page_id, url, html).
 
     A NULL or empty html, or a page without main text, gives an empty text. Pages
-    without a valid host vote together. Repeated rows and NULL ids are kept; other
+    without a valid host vote together. path is the host's winning path. Repeated rows and NULL ids are kept; other
     columns are ignored."""
     pages = with_host(pages)
 

@@ -228,6 +228,25 @@ def test_pages(spark):
         [(1, text, len(text)), (1, text, len(text)), (2, text, len(text)), (3, "", 0), (4, "", 0)])
 
 
+def test_pages_keep_the_whole_article(spark):
+    long, quote, lede = "long text " * 30, "quoted words " * 30, "A lede of one sentence."
+    bodies = {
+        "lede": f'<article><h1>Head</h1><p>{lede}</p><div class="body"><p>{long}</p></div></article>',
+        "only": f'<main><h1>Head</h1><article><p>{lede}</p><div class="body"><p>{long}</p></div></article></main>',
+        "split": f'<div class="wrap"><h1>Head</h1><div class="lead"><p>{lede}</p></div><div class="body"><p>{long}</p></div></div><ul><li><a href="/">more pages</a></li></ul>',
+        "quote": f"<article><h1>Head</h1><p>{lede}</p><blockquote>{quote}</blockquote><p>End.</p></article>",
+        "cell": f"<article><h1>Head</h1><p>{lede}</p><table><tr><td>{quote}</td></tr></table><p>End.</p></article>",
+    }
+    end = {"quote": [quote, "End."], "cell": [quote, "End."]}
+    want = {h: " ".join(" ".join(["Head", lede, *end.get(h, [long])]).split()) for h in bodies}
+    rows = [(f"{h}{i}", f"http://{h}.example/{i}", f"<html><body><nav>menu</nav>{b}<footer>f</footer></body></html>") for h, b in bodies.items() for i in range(2)]
+    one = f'<body><article class="story"><p>{long}</p></article></body>'
+    two = f'<body><article class="story"><p>A teaser.</p></article><article class="text"><h1>Head</h1><div><p>{quote}</p></div></article></body>'
+    rows += [(f"two{i}", f"http://two.example/{i}", two if i == 3 else one) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    assert got == {f"{h}{i}": t for h, t in want.items() for i in range(2)} | {f"two{i}": f"Head {quote.strip()}" if i == 3 else long.strip() for i in range(4)}
+
+
 def test_pieces_equal_the_library(spark, docs, none):
     import sentencepiece
 
