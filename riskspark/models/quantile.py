@@ -60,6 +60,16 @@ def fit(rows: DataFrame, key: str, features: list[str], target: str, probs: list
     return state
 
 
+def standardised(split: DataFrame, key: str, features: list[str]) -> DataFrame:
+    """The features less their training mean, over their training deviation where that
+    is not zero. ``split`` has is_train; the other columns stay."""
+    m = split.filter("is_train").groupBy(key).agg(*[F.avg(c).alias(f"_m_{c}") for c in features],
+                                                  *[F.stddev_pop(c).alias(f"_s_{c}") for c in features])
+    scale = lambda c: F.when(F.col(f"_s_{c}") > 0, F.col(f"_s_{c}")).otherwise(1.0)
+    return split.join(m, key).select(*[
+        ((F.col(c) - F.col(f"_m_{c}")) / scale(c)).alias(c) if c in features else c for c in split.columns])
+
+
 def predict(df: DataFrame, key: str, features: list[str], models: dict, names: dict[float, str]) -> DataFrame:
     """Add one column per quantile. Coefficients become literals of the plan."""
     out = df

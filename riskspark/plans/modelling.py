@@ -135,9 +135,10 @@ def m3_risk_ridge(s, d):
     model = materialise(rg.fit(frame, "portfolio", f, "target", [1.0]), "m3_model")
     split = cal.split_time(frame.dropna(subset=[*f, "target"]), ["portfolio"])
     names = {0.25: "p25", 0.75: "p75"}
-    bands = qr.fit(split.filter("is_train"), "portfolio", ["lagged_vol_" + p for p in PORTFOLIOS], "target", list(names))
+    scaled = materialise(qr.standardised(split, "portfolio", f), "m3_scaled")
+    bands = qr.fit(scaled.filter("is_train"), "portfolio", f, "target", list(names))
     point = rg.predict(split.filter("NOT is_train"), model, "portfolio", f)
-    test = qr.predict(split.filter("NOT is_train"), "portfolio", ["lagged_vol_" + p for p in PORTFOLIOS], bands, names)
+    test = qr.predict(scaled.filter("NOT is_train"), "portfolio", f, bands, names)
     test = test.join(point, ["portfolio", "date"])
     test = qr.ordered(test, "p25", "prediction", "p75")
     quality = model.groupBy("portfolio").agg(F.first("r2").alias("r2"))

@@ -144,3 +144,25 @@ def test_bootstrap_is_repeatable(spark):
     df = spark.createDataFrame(rows, "archetype string, date date, ret double")
     run = lambda: ts.bootstrap_t(df, "archetype", "ret", "tech", "defensive", draws=200).collect()[0]
     assert run() == run() and run()["draws"] == 200
+
+
+def test_risk_band_sees_all_scaled_features(spark, monkeypatch):
+    from riskspark.models import frames as fr
+    from riskspark.plans import modelling as md
+
+    class Seen(Exception):
+        pass
+
+    def fit(rows, key, features, target, probs):
+        raise Seen(features, rows.groupBy(key).agg(*[F.avg(c).alias(c) for c in features]).collect(),
+                   rows.groupBy(key).agg(*[F.stddev_pop(c).alias(c) for c in features]).collect())
+
+    f, rng = fr.risk_features(), np.random.default_rng(7)
+    days = pd.DataFrame(rng.normal(3, 2, (60, len(f) + 1)), columns=[*f, "target"])
+    monkeypatch.setattr(md, "m3_frame", lambda s, d: frame(spark, days, "a").withColumnRenamed("k", "portfolio"))
+    monkeypatch.setattr(md.qr, "fit", fit)
+    with pytest.raises(Seen) as got:
+        md.m3_risk_ridge(spark, "")
+    features, mean, sd = got.value.args
+    assert features == f
+    assert np.allclose([mean[0][c] for c in f], 0) and np.allclose([sd[0][c] for c in f], 1)
