@@ -1,5 +1,6 @@
 """Models and significance tests."""
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from riskspark import constants as K, fixtures as fx
@@ -91,6 +92,19 @@ def m1_importance(s, d):
     return sk.importances(model, f, s)
 
 
+def m1_probabilities(s, d):
+    """(date, p) of every day from the classifier fitted on all complete rows, gaps filled
+    with medians; None where the rows don't hold both classes."""
+    rows, f = _m1_rows(s, d)
+    if rows.select("label").distinct().count() < 2:
+        return None
+    days = day_frame(s, d)
+    mid = days.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in f]).first()
+    filled = days.select("date", *[F.coalesce(F.col(c).cast("double"), F.lit(mid[c])).alias(c) for c in f])
+    model = sk.classifier().fit(sk.balanced(rows))
+    return sk.score(model, VectorAssembler(inputCols=f, outputCol="features").transform(filled)).select("date", "p")
+
+
 # --- M2 ---------------------------------------------------------------------------
 
 @query("m2_shock_pool", f"""SELECT portfolio, date, {R('vol5')} AS shock_magnitude,
@@ -104,7 +118,10 @@ def m2_shock_pool(s, d):
 
 def recovery_bands(s, d):
     cols = ["vol5", "sector_label", "pre_shock_baseline", "market_regime", "quarter", "year", *_CTX]
-    pool = rc.pooled_split(materialise(shock_events(s, d), "shocks"), PORTFOLIOS)
+    events, probs = materialise(shock_events(s, d), "shocks"), m1_probabilities(s, d)
+    if probs is not None:
+        events = materialise(rc.confident(events, probs, "tech"), "confident")
+    pool = rc.pooled_split(events, PORTFOLIOS)
     pool = materialise(rc.impute(materialise(pool, "pool"), cols), "pool_full")
     return rc.band(pool, cols)
 

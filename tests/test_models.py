@@ -166,3 +166,31 @@ def test_risk_band_sees_all_scaled_features(spark, monkeypatch):
     features, mean, sd = got.value.args
     assert features == f
     assert np.allclose([mean[0][c] for c in f], 0) and np.allclose([sd[0][c] for c in f], 1)
+
+
+def test_recovery_band_drops_unsupported_tech_shocks(spark, monkeypatch):
+    from riskspark.models import frames as fr
+    from riskspark.plans import modelling as md
+
+    class Seen(Exception):
+        pass
+
+    def split(events, order):
+        raise Seen({(r["portfolio"], r["date"]) for r in events.collect()})
+
+    f, rng = fr.shock_features("tech"), np.random.default_rng(8)
+    days = pd.DataFrame(rng.normal(size=(60, len(f))), columns=f)
+    high = days[f[0]] > 0.5
+    days["shock_tech"] = high.shift(1, fill_value=False).astype(int)
+    days.loc[[10, 20], f[1]] = None
+    days = frame(spark, days).drop("k").replace(float("nan"), None)
+    events = days.select("date").crossJoin(spark.createDataFrame([("tech",), ("balanced",)], "portfolio string"))
+    monkeypatch.setattr(md, "day_frame", lambda s, d: days)
+    monkeypatch.setattr(md, "shock_events", lambda s, d: events)
+    monkeypatch.setattr(md.rc, "pooled_split", split)
+    with pytest.raises(Seen) as got:
+        md.recovery_bands(spark, "")
+    kept = got.value.args[0]
+    sure = {r["date"] for r in md.m1_probabilities(spark, "").collect() if r["p"] >= 0.75}
+    assert 0 < len(sure) < 60 and len({x for p, x in kept if p == "balanced"}) == 60
+    assert {x for p, x in kept if p == "tech"} == sure <= {START + dt.timedelta(days=int(i)) for i in np.flatnonzero(high)}
