@@ -80,16 +80,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 KIND = np.array([0 if SPACE[b] else 1 if b >= 128 or chr(b).isalnum() else 2 for b in range(256)], np.uint8)
 
 
-def words(col: pa.Array, lower: bool = True, split_marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def words(col: pa.Array, lower: bool = True, split_marks: bool = False, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each text, A-Z lower-cased,
     and for each text the index of its first word (length + 1 entries). With
-    ``split_marks`` a run of punctuation is a word of its own.
+    ``split_marks`` a run of punctuation is a word of its own; ``inside`` names the
+    bytes of other words (256 flags, upper and lower case alike).
 
     Works on the column's bytes: a word's hash is a difference of prefix sums, so
     no Python string is made."""
     offs, raw = _buffers(col)
     low = LOWER[raw] if lower else raw
-    inside = ~SPACE[low]
+    inside = ~SPACE[low] if inside is None else inside[low]
     first = np.zeros(len(low) + 1, bool)
     first[offs[offs < len(low)]] = True
     first = first[: len(low)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import jaccard, language, neighbours, packing, pages, pieces, quality, token_files, topk, toxicity
+from riskspark.llm import jaccard, language, lexical, neighbours, packing, pages, parsing, pieces, quality, token_files, topk, toxicity, vector_codes
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -83,3 +83,26 @@ SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ordered WHER
 @query
 def op5_jaccard(spark, sf):
     return jaccard.classes(table(spark, sf, "documents"), size=4, percent=85)
+
+
+@query
+def op11_codes(spark, sf):
+    coded, books = vector_codes.fit_and_code(table(spark, sf, "embeddings"))
+    out = vector_codes.with_label_error(coded).withColumn("codebooks_sha256", F.lit(vector_codes.digest(books)))
+    return out.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
+CHECKS["op11_codes"] = vector_codes.sql()
+
+
+@query
+def op12_repeats(spark, sf):
+    return parsing.removed(table(spark, sf, "documents"))
+
+
+@query
+def op13_ranked(spark, sf):
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+CHECKS["op13_ranked"] = lexical.SQL
