@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskspark.common import materialise
 from riskspark.llm.columns import small_batches
-from riskspark.llm.tokens import encoded, encoder, vocabulary_path
+from riskspark.llm.tokens import encoder, frequent_words, id_type, vocabulary_path
 
 WINDOW = 1024
 END_ID = 0
@@ -25,18 +25,17 @@ END_ID = 0
 
 def encode_documents(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, part, row, local_start, n_tokens, ids): the end id is appended to each text."""
+    words = frequent_words(docs, path, text)
 
     def run(batches):
         part, row, at = TaskContext.get().partitionId(), 0, 0
-        end = np.array([end_id], encoder(path).dtype).tobytes()
         for batch in small_batches(batches, text, keep="tokens"):
-            coded, dtype = encoded(batch, text, path)
-            coded = [x + end for x in coded]
-            n = np.array([len(x) // dtype.itemsize for x in coded], np.int64)
-            start = at + np.cumsum(n) - n
+            ids, n = encoder(path, words).column(batch.column(text), end_id)
+            start, ends = at + np.cumsum(n) - n, np.append(0, np.cumsum(n) * ids.itemsize)
+            coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), pa.array(np.full(len(n), part, np.int32)), pa.array(row + np.arange(len(n))),
-                 pa.array(start), pa.array(n), pa.array(coded, pa.binary())],
+                 pa.array(start), pa.array(n), coded.cast(pa.binary())],
                 names=[key, "part", "row", "local_start", "n_tokens", "ids"])
             row, at = row + len(n), at + int(n.sum())
 
@@ -57,9 +56,10 @@ def with_global_start(stored: DataFrame) -> DataFrame:
 def cut(placed: DataFrame, path: str, window: int = WINDOW, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """Boundary records: one row for each piece of a document inside one window."""
     names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
+    kind = id_type(path)  # known here, so that these tasks need no vocabulary
+    width = kind.itemsize
 
     def run(batches):
-        width, kind = encoder(path).dtype.itemsize, encoder(path).dtype
         for batch in batches:
             first, n = (np.asarray(batch.column(c)) for c in ("global_start", "n_tokens"))
             pieces = (first + n - 1) // window - first // window + 1
@@ -82,8 +82,8 @@ def cut(placed: DataFrame, path: str, window: int = WINDOW, key: str = "doc_id",
             out = [batch.column(key).take(pa.array(doc)), *map(pa.array, (start, length, crc, n[doc], sequence, begin % window))]
             yield pa.RecordBatch.from_arrays(out + [pa.array(held, pa.list_(pa.int32()))] * with_ids, names=names)
 
-    kind = placed.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    key_kind = placed.schema[key].dataType.simpleString()
+    schema = f"{key} {key_kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return placed.select(key, "global_start", "n_tokens", "ids").mapInArrow(run, schema + ", ids array<int>" * with_ids)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from riskspark.common import materialise, scratch_path
 from riskspark.llm import simple8b
 from riskspark.llm.columns import small_batches
-from riskspark.llm.tokens import encoded, encoder, vocabulary_path
+from riskspark.llm.tokens import encoder, frequent_words, vocabulary_path
 
 END_ID = 2
 BLOCK_IDS = 65_536
@@ -45,11 +45,10 @@ class ShardWriter:
         self.at = out.write(MAGIC)
         self.tables: list[pa.RecordBatch] = []
 
-    def add(self, keys: pa.Array, ids: list[np.ndarray]) -> None:
-        n = pa.array([len(x) for x in ids], pa.int64())
-        self.tables.append(pa.RecordBatch.from_arrays([keys, n], names=["key", "n_tokens"]))
-        self.held += ids
-        self.waiting += sum(map(len, ids))
+    def add(self, keys: pa.Array, ids: np.ndarray, n: np.ndarray) -> None:
+        self.tables.append(pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64())], names=["key", "n_tokens"]))
+        self.held.append(ids)
+        self.waiting += len(ids)
         if self.waiting >= self.block_ids:
             self._blocks(False)
 
@@ -115,6 +114,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
     path, spark = path or vocabulary_path(), docs.sparkSession
     folder = scratch_path(spark, "tokens")
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    words = frequent_words(docs, path, text)
 
     def run(batches):
         task, writer, size = TaskContext.get(), None, 0
@@ -124,9 +124,8 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
                 where, name = _open(f"{folder}/shard-{shard:06d}-{task.taskAttemptId()}.s8b")
                 where.create_dir(name.rpartition("/")[0], recursive=True)
                 writer = ShardWriter(where.open_output_stream(name), block_ids)
-            coded, dtype = encoded(batch, text, path)
-            end = np.array([end_id], dtype).tobytes()
-            writer.add(batch.column(key), [np.frombuffer(x + end, dtype).astype(np.uint64) for x in coded])
+            ids, n = encoder(path, words).column(batch.column(text), end_id)
+            writer.add(batch.column(key), ids.astype(np.uint64), n)
         if writer:
             row = (shard, f"{folder}/{name.rpartition('/')[2]}", *writer.close())
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["shard", "file", "docs", "tokens", "bytes"])

@@ -1,28 +1,40 @@
 """Token ids of whole texts from a public vocabulary file, by the tokenizers library.
 
 A byte-level pre-tokenizer never joins what stands on both sides of a single space or
-line break between two visible characters. Texts are therefore cut there, each
-distinct word is encoded once by the library and kept in a bounded table of the
-worker; the ids of a text are the ids of its words in order, equal to those of the
-whole text. Texts with two white spaces in a row are encoded whole.
+line break between two visible characters. Texts are therefore cut there into units
+(a word with the space or break before it), whose ids in a row are the ids of the
+whole text. Units are found and hashed on a column's bytes, and the ids of frequent
+ones are looked up in a sorted table; only the others go to the library, each once a
+block. Texts with two white spaces in a row, with rare white space or with a special
+token are encoded whole.
+
+The table is made in Spark from a sample of documents, with a fixed number of words,
+and reaches each worker once. It saves time and decides no result: ids of every block
+are turned back into bytes and compared with the text.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
-from riskspark.llm.columns import worker_kept
+from riskspark.llm.columns import U64, _buffers, _powers, _TABLE, mix, small_batches, worker_kept
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Words that a worker keeps: those of a full table that are used again go into the next.
-KEPT = 300_000
-LONGEST_KEPT = 64
-_RUN = re.compile(r"\s\s")
+#: Units of the table, the text they are counted in, and their longest.
+TABLE_WORDS, SAMPLE_BYTES, LONGEST = 400_000, 48 << 20, 64
+#: Pieces of words that a worker keeps between blocks.
+KEPT = 50_000
+_SPACES = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)])
+#: Letters and marks whose classes every Unicode version agrees on.
+_PLAIN = re.compile("([ ]?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]+)?")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -39,72 +51,219 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@cache
+def id_type(path: str) -> np.dtype:
+    """Two bytes an id if the vocabulary allows, four otherwise."""
+    top = max(_tokenizer(path).get_vocab(with_added_tokens=True).values())
+    return np.dtype("<u2" if top < 1 << 16 else "<u4")
+
+
+@dataclass
+class Words:
+    """Ids of units by the units' hashes, which ascend."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    ids: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[tuple[int, bytes]], dtype) -> Words:
+        keys = np.array([k for k, _ in rows], np.int64).view(U64)
+        order = np.argsort(keys)
+        ids = [np.frombuffer(rows[i][1], dtype) for i in order]
+        return cls(keys[order], np.cumsum([0, *map(len, ids)]).astype(np.int64), np.concatenate([np.zeros(0, dtype), *ids]))
+
+
+def units(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, hashes) of the units of texts laid end to end."""
+    begins = (raw == 0x20) | (raw == 0x0A)
+    begins[offs[:-1][np.diff(offs) > 0]] = True
+    start = np.flatnonzero(begins)
+    end = np.append(start[1:], len(raw))[: len(start)]
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(raw) + 1, U64)
+        np.cumsum(_TABLE[raw] * _powers(len(raw) + 1)[:-1], out=sums[1:])
+        h = (sums[end] - sums[start]) * _powers(len(raw) + 1, True)[start]
+        return start, end, mix(h + U64(0x632BE59BD9B4E019) * (end - start).astype(U64))
+
+
+def _odd(raw: np.ndarray, offs: np.ndarray, special: list[bytes]) -> np.ndarray:
+    """Texts that are not cut into units."""
+    at = []
+    space = _SPACES[raw]
+    at.append(np.flatnonzero(space[1:] & space[:-1]))
+    wide = np.flatnonzero((raw == 0xC2) | (raw == 0xE1) | (raw == 0xE2) | (raw == 0xE3))
+    if len(wide):
+        far = np.append(raw, [0, 0])
+        a, b, c = far[wide], far[wide + 1], far[wide + 2]
+        at.append(wide[((a == 0xC2) & ((b == 0x85) | (b == 0xA0))) | ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+                       | ((a == 0xE2) & (((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F))))])
+    whole = raw.tobytes() if special else b""
+    for mark in special:
+        i = whole.find(mark)
+        while i >= 0:
+            at.append(np.array([i]))
+            i = whole.find(mark, i + 1)
+    out = np.zeros(len(offs) - 1, bool)
+    found = np.concatenate(at)
+    # White space on both sides of a text's end is none in a row; such texts are taken whole all the same.
+    out[np.searchsorted(offs, found, side="right") - 1] = True
+    return out
+
+
+def _spelled() -> list[str]:
+    """The character by which byte-level vocabularies spell each byte: itself if it is
+    visible in Latin-1, the next one from U+0100 on otherwise."""
+    visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    rest = [b for b in range(256) if b not in visible]
+    return [chr(b) if b in visible else chr(256 + rest.index(b)) for b in range(256)]
+
+
 class Encoder:
-    """Encodes texts to little-endian id bytes: two bytes an id if the vocabulary
-    allows, four otherwise."""
-
-    def __init__(self, path: str, kept: int = KEPT):
-        self.tokenizer, self.kept = _tokenizer(path), kept
-        self.table: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        top = max(self.tokenizer.get_vocab(with_added_tokens=True).values())
-        self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
-        self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, added))) if added else None
-
-    def whole(self, texts: list[str]) -> list[bytes]:
+    """Encodes texts to ids: ``dtype`` is two bytes wide if the vocabulary allows, four otherwise."""
+
+    def __init__(self, path: str, words: Words | None = None):
+        self.tokenizer, self.dtype = _tokenizer(path), id_type(path)
+        self.words = words or Words.of([], self.dtype)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        spec = json.loads(self.tokenizer.to_str())
+        level, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        #: Whether texts may be cut, and pieces given to the model itself.
+        self.byte_level = (level.get("type") == "ByteLevel" and not level.get("add_prefix_space") and level.get("use_regex")
+                           and not spec.get("normalizer") and model.get("type") == "BPE" and not model.get("dropout"))
+        self.pieces: dict[str, list[int]] = {}
+        self.spelled = dict(enumerate(_spelled()))
+        if self.byte_level:
+            back = {ord(c): b for b, c in self.spelled.items()}
+            vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+            size = max(vocab.values()) + 1
+            spelt: list[bytes] = [b""] * size
+            for token, i in vocab.items():
+                spelt[i] = bytes(back[ord(c)] for c in token)
+            self.token_starts = np.cumsum([0, *map(len, spelt)])
+            self.token_bytes = np.frombuffer(b"".join(spelt), np.uint8)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
         out = []
-        for i in range(0, len(texts), 10_000):
-            coded = self.tokenizer.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False)
-            out += [np.array(x.ids, self.dtype).tobytes() for x in coded]
+        for i in range(0, len(texts), 1_000):
+            coded = self.tokenizer.encode_batch_fast(texts[i : i + 1_000], add_special_tokens=False)
+            out += [np.array(x.ids, self.dtype) for x in coded]
         return out
 
-    def _lines(self, lines: list[str]) -> list[bytes]:
-        """Ids of texts without line breaks, as the lines of one text: a call for each
-        would cost more than the encoding."""
-        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, self.dtype)
-        at = np.flatnonzero(ids == self.line_break)
-        if len(at) != len(lines) - 1:
-            return self.whole(lines)
-        raw, width = ids.tobytes(), self.dtype.itemsize
-        cuts = [-width, *(at * width).tolist(), len(raw)]
-        return [raw[a + width : b] for a, b in zip(cuts, cuts[1:])]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words: those that begin with a line break, and others after a space."""
-        first = [w[1:] for w in words if w.startswith("\n")]
-        rest = [" " + w for w in words if not w.startswith("\n")]
-        step, brk = 20_000, np.array([self.line_break], self.dtype).tobytes()
-        a, b = ([x for i in range(0, len(y), step) for x in self._lines(y[i : i + step])] for y in (first, rest))
-        a, b = iter(a), iter(b)
-        return [brk + next(a) if w.startswith("\n") else next(b) for w in words]
-
-    def texts(self, texts: list[str]) -> list[bytes]:
-        if len(self.table) > self.kept:
-            self.older, self.table = self.table, {}
-        table, older = self.table, self.older
-        plain = [not (_RUN.search(t) or (self.special and self.special.search(t))) for t in texts]
-        odd = iter(self.whole([t for t, ok in zip(texts, plain) if not ok]))
-        parts = [t.replace("\n", " \n").split(" ") if ok else [""] for t, ok in zip(texts, plain)]
-        firsts = self.whole([p[0] for p in parts])
-        new = set().union(*(p[1:] for p in parts)).difference(table)
-        again = {w: older[w] for w in new if w in older}
-        new = [w for w in new if w not in again]
-        table.update(again)
-        long = {}
-        for w, ids in zip(new, self._words(new)):
-            (table if len(w) <= LONGEST_KEPT else long)[w] = ids
-        get = table.__getitem__ if not long else lambda w: long[w] if w in long else table[w]
-        return [first + b"".join(map(get, p[1:])) if ok else next(odd) for p, first, ok in zip(parts, firsts, plain)]
-
-
-def encoder(path: str) -> Encoder:
-    """One encoder a worker process, kept between tasks that encode."""
-    return worker_kept(f"tokens:{path}", lambda: Encoder(path))
-
-
-def encoded(batch: pa.RecordBatch, column: str, path: str) -> tuple[list[bytes], np.dtype]:
-    """Id bytes of every text of a batch; NULL counts as empty."""
-    enc = encoder(path)
-    return enc.texts(batch.column(column).cast(pa.string()).fill_null("").to_pylist()), enc.dtype
+    def _piece(self, piece: str) -> list[int]:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            spelled = piece.encode().decode("latin-1").translate(self.spelled)
+            ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return ids
+
+    def encode_units(self, found: list[bytes]) -> list[np.ndarray]:
+        """Ids of units. Letters and a run of marks after them are two pieces, which the
+        model takes without the library's own cutting."""
+        if len(self.pieces) > KEPT:
+            self.pieces = {}
+        out, rest = [], []
+        for i, unit in enumerate(found):
+            m = _PLAIN.fullmatch(unit.decode())
+            if m is None:
+                rest.append(i)
+                out.append(None)
+            else:
+                out.append(np.array(self._piece(m[1]) + (self._piece(m[2]) if m[2] else []), self.dtype))
+        for i, ids in zip(rest, self.whole([found[i].decode() for i in rest])):
+            out[i] = ids
+        return out
+
+    def column(self, col: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, n): the ids of all texts of a column in a row, each text followed by
+        ``end_id``, and the number of each text's ids. NULL counts as empty."""
+        offs, raw = _buffers(col)
+        odd = _odd(raw, offs, self.special) if self.byte_level else np.diff(offs) > 0
+        text = lambda i: raw[offs[i]:offs[i + 1]].tobytes().decode()
+        apart = np.flatnonzero(odd)
+        start, end, h = units(raw, offs)
+        of = np.searchsorted(offs, start, side="right") - 1
+        keep = ~odd[of]
+        start, end, h, of = start[keep], end[keep], h[keep], of[keep]
+        keys = self.words.keys
+        at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
+        known = keys[at] == h if len(keys) else np.zeros(len(h), bool)
+        new, first, which = np.unique(h[~known], return_index=True, return_inverse=True)
+        first = np.flatnonzero(~known)[first]
+        own = self.encode_units([raw[a:b].tobytes() for a, b in zip(start[first].tolist(), end[first].tolist())])
+        own += self.whole([text(i) for i in apart])
+        if end_id is not None:
+            own.append(np.array([end_id], self.dtype))
+        pool = np.concatenate([self.words.ids, *own])
+        sizes = np.array([len(x) for x in own], np.int64)
+        begins = len(self.words.ids) + np.cumsum(sizes) - sizes
+        src, n = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+        src[known], n[known] = self.words.starts[at[known]], np.diff(self.words.starts)[at[known]]
+        src[~known], n[~known] = begins[which], sizes[which]
+        more = [(apart, begins[len(new):len(new) + len(apart)], sizes[len(new):len(new) + len(apart)])]
+        if end_id is not None:
+            every = np.arange(len(col))
+            more.append((every, np.full(len(col), begins[-1]), np.ones(len(col), np.int64)))
+        of, src, n = (np.concatenate(x) for x in zip((of, src, n), *more))
+        by = np.argsort(of, kind="stable")
+        of, src, n = of[by], src[by], n[by]
+        ids = pool[np.repeat(src - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        per = np.bincount(of, n, len(col)).astype(np.int64) if len(of) else np.zeros(len(col), np.int64)
+        if self.byte_level:
+            self._proved(ids, per, odd, raw, offs, end_id)
+        return ids, per
+
+    def _proved(self, ids, per, odd, raw, offs, end_id) -> None:
+        """Raise if the ids of cut texts don't spell them (two units of one 64-bit hash)."""
+        ends = np.cumsum(per)
+        inside = np.repeat(~odd, per)
+        if end_id is not None:
+            inside[ends - 1] = False
+        some = ids[inside].astype(np.int64)
+        n = np.diff(self.token_starts)[some]
+        back = self.token_bytes[np.repeat(self.token_starts[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        if not np.array_equal(back, raw[np.repeat(~odd, np.diff(offs))]):
+            raise ValueError("two different words have one hash")
+
+    def texts(self, texts: list[str]) -> list[np.ndarray]:
+        ids, n = self.column(pa.array(texts, pa.large_string()))
+        return np.split(ids, np.cumsum(n)[:-1]) if len(n) else []
+
+
+def frequent_words(docs: DataFrame, path: str, text: str = "text", words: int = TABLE_WORDS, sample_bytes: int = SAMPLE_BYTES):
+    """A broadcast table of the most frequent units in a hash sample of texts: at most
+    ``words`` units of at most ``LONGEST`` bytes, whatever the size of ``docs``."""
+    spark = docs.sparkSession
+    total = docs.agg(F.sum(F.octet_length(text)).alias("n")).collect()[0]["n"] or 0
+    share = int(min(1.0, sample_bytes / max(total, 1)) * (1 << 30))
+    some = docs.select(text).where(F.pmod(F.xxhash64(F.col(text), F.lit(13)), F.lit(1 << 30)) < share)
+
+    def count(batches):
+        for batch in small_batches(batches, text, 8 << 20):
+            offs, raw = _buffers(batch.column(text))
+            if not len(raw):
+                continue
+            start, end, h = units(raw, offs)
+            fit = end - start <= LONGEST
+            start, end, h = start[fit], end[fit], h[fit]
+            h, first, n = np.unique(h, return_index=True, return_counts=True)
+            held = [raw[a:b].tobytes() for a, b in zip(start[first].tolist(), end[first].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(held, pa.binary()), pa.array(n)], names=["hash", "unit", "n"])
+
+    def encode(batches):
+        enc = encoder(path)
+        for batch in batches:
+            ids = enc.encode_units(batch.column("unit").to_pylist()) if enc.byte_level else []
+            yield pa.RecordBatch.from_arrays([batch.column("hash").slice(0, len(ids)), pa.array([x.tobytes() for x in ids], pa.binary())], names=["hash", "ids"])
+
+    counted = some.mapInArrow(count, "hash long, unit binary, n long").groupBy("hash").agg(F.min("unit").alias("unit"), F.sum("n").alias("n"))
+    best = counted.where("n > 1").orderBy(F.desc("n"), "hash").limit(words)
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = best.repartition(shuffled, "hash").mapInArrow(encode, "hash long, ids binary").collect()
+    return spark.sparkContext.broadcast(Words.of([(r["hash"], bytes(r["ids"])) for r in rows], id_type(path)))
+
+
+def encoder(path: str, words=None) -> Encoder:
+    """One encoder a worker process, kept between tasks that encode; ``words`` is a
+    broadcast table."""
+    return worker_kept(f"tokens:{path}:{words.value.keys[:64].tobytes() if words else ''}", lambda: Encoder(path, words.value if words else None))

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,10 +34,22 @@ def crc(x):
 
 
 def test_encoder_equals_the_library():
-    odd = ["a  b", "a\n b", "a\n \nb", " x", "x ", "don't 's", "a\tb c", "\n", "a\u0085 b", "x,y 1,2"]
-    enc = tokens.Encoder(tokens.vocabulary_path(), kept=3)
-    for _ in range(3):
-        assert enc.texts(odd) == enc.whole(odd)
+    odd = ["a  b", "a\n b", "a\n \nb", " x", "x ", "don't 's", "a\tb c", "\n", "a\u0085 b", "x,y 1,2", "", "naïve, Ǆ ß. ×÷ ªº", "a\xa0 b\u2003c", "日本 語",
+           "word. (word) [x] _y_ ~~ a-b c--", "<|endoftext|> a", "x <|endoftext|>", "\x1c \x1f a", " ", "A\nB\nC", "é" * 300 + ",;", "'s 't x's", "\u200b a", "😀 😀😀"]
+    enc = tokens.Encoder(tokens.vocabulary_path())
+    table = enc.encode_units([b" b", b"a", b"\nB"])
+    _, _, h = tokens.units(np.frombuffer(b"a b\nB", np.uint8), np.array([0, 5]))
+    words = tokens.Words.of([(int(k), table[i].tobytes()) for k, i in zip(h.view(np.int64), (1, 0, 2))], enc.dtype)
+    for e in (enc, tokens.Encoder(tokens.vocabulary_path(), words)):
+        for texts in (odd, odd[::-1], [], [""], ["", "", "a b"]):
+            assert [x.tolist() for x in e.texts(texts)] == [x.tolist() for x in e.whole(texts)]
+            ids, n = e.column(pa.array([*texts, None]), 7)
+            assert ids.tolist() == [i for t in [*texts, ""] for i in [*e.whole([t])[0], 7]] and len(n) == len(texts) + 1
+    wrong = tokens.Words(words.keys, words.starts, words.ids[::-1].copy())  # as if hashes of other words
+    with pytest.raises(ValueError):
+        tokens.Encoder(tokens.vocabulary_path(), wrong).texts(["a b\nB"])
+    lower = tokens.Encoder(tokens.vocabulary_path("word_bpe_49k.json"))
+    assert [x.tolist() for x in lower.texts(["A b", "c D."])] == [x.tolist() for x in lower.whole(["A b", "c D."])]
 
 
 def test_packing(spark, docs, none):
