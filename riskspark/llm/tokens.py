@@ -1,9 +1,9 @@
 """Token ids of whole texts from a public vocabulary file, by the tokenizers library.
 
 A byte-level pre-tokenizer never joins what stands on both sides of a single space or
-line break between two visible characters. Texts are therefore cut there into units
-(a word with the space or break before it), whose ids in a row are the ids of the
-whole text. Units are found and hashed on a column's bytes, and the ids of frequent
+line break between two visible characters, nor a letter and a mark other than an
+apostrophe. Texts are therefore cut there into units (a word with the space or break
+before it, a run of marks), whose ids in a row are the ids of the whole text. Units are found and hashed on a column's bytes, and the ids of frequent
 ones are looked up in a sorted table; only the others go to the library, each once a
 block. Texts with two white spaces in a row, with rare white space or with a special
 token are encoded whole.
@@ -30,11 +30,13 @@ from riskspark.llm.columns import U64, _buffers, _powers, _TABLE, mix, small_bat
 VOCABULARY = "byte_bpe_50k.json"
 #: Units of the table, the text they are counted in, and their longest.
 TABLE_WORDS, SAMPLE_BYTES, LONGEST = 400_000, 48 << 20, 64
-#: Pieces of words that a worker keeps between blocks.
-KEPT = 50_000
+#: Bits of the table that leads to a unit's place.
+SLOT_BITS = 21
 _SPACES = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)])
 #: Letters and marks whose classes every Unicode version agrees on.
-_PLAIN = re.compile("([ ]?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]+)?")
+_PLAIN = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ɏ]+|[!-&(-/:-@\\[-`{-~]+")
+_LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
+_MARK = np.array([33 <= b < 127 and not chr(b).isalnum() and b != 0x27 for b in range(256)])
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -60,12 +62,28 @@ def id_type(path: str) -> np.dtype:
 
 @dataclass
 class Words:
-    """Ids of units by the units' hashes, which ascend."""
+    """Ids of units by the units' hashes, which ascend. ``slots`` leads from a hash's upper
+    bits to one unit; where several share them, the others are searched for."""
 
     keys: np.ndarray
     starts: np.ndarray
     ids: np.ndarray
 
+    def __post_init__(self):
+        self.slots = np.zeros(1 << SLOT_BITS, np.int32)
+        self.slots[(self.keys >> U64(64 - SLOT_BITS)).astype(np.int64)] = np.arange(len(self.keys))
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(known, place) of hashes."""
+        if not len(self.keys):
+            return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+        at = self.slots[(h >> U64(64 - SLOT_BITS)).astype(np.int64)].astype(np.int64)
+        known = self.keys[at] == h
+        rest = np.flatnonzero(~known)
+        at[rest] = np.minimum(np.searchsorted(self.keys, h[rest]), len(self.keys) - 1)
+        known[rest] = self.keys[at[rest]] == h[rest]
+        return known, at
+
     @classmethod
     def of(cls, rows: list[tuple[int, bytes]], dtype) -> Words:
         keys = np.array([k for k, _ in rows], np.int64).view(U64)
@@ -78,6 +96,10 @@ def units(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     """(starts, ends, hashes) of the units of texts laid end to end."""
     begins = (raw == 0x20) | (raw == 0x0A)
     begins[offs[:-1][np.diff(offs) > 0]] = True
+    letter = _LETTER[raw]
+    two = (raw[:-1] >= 0xC3) & (raw[:-1] <= 0xC8) & ~((raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7)))
+    letter[1:] |= two  # the second byte of U+00C0 to U+023F, but for the signs of times and division
+    begins[1:] |= letter[:-1] & _MARK[raw[1:]]
     start = np.flatnonzero(begins)
     end = np.append(start[1:], len(raw))[: len(start)]
     with np.errstate(over="ignore"):
@@ -131,7 +153,6 @@ class Encoder:
         #: Whether texts may be cut, and pieces given to the model itself.
         self.byte_level = (level.get("type") == "ByteLevel" and not level.get("add_prefix_space") and level.get("use_regex")
                            and not spec.get("normalizer") and model.get("type") == "BPE" and not model.get("dropout"))
-        self.pieces: dict[str, list[int]] = {}
         self.spelled = dict(enumerate(_spelled()))
         if self.byte_level:
             back = {ord(c): b for b, c in self.spelled.items()}
@@ -150,29 +171,25 @@ class Encoder:
             out += [np.array(x.ids, self.dtype) for x in coded]
         return out
 
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            spelled = piece.encode().decode("latin-1").translate(self.spelled)
-            ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-        return ids
-
-    def encode_units(self, found: list[bytes]) -> list[np.ndarray]:
-        """Ids of units. Letters and a run of marks after them are two pieces, which the
-        model takes without the library's own cutting."""
-        if len(self.pieces) > KEPT:
-            self.pieces = {}
-        out, rest = [], []
-        for i, unit in enumerate(found):
-            m = _PLAIN.fullmatch(unit.decode())
-            if m is None:
-                rest.append(i)
-                out.append(None)
+    def encode_units(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, number of ids) of units. Letters alone and marks alone are one
+        piece, which the model takes without the library's own cutting."""
+        texts = [u.decode() for u in found]
+        rest = [i for i, u in enumerate(texts) if not _PLAIN.fullmatch(u)]
+        others = dict(zip(rest, self.whole([texts[i] for i in rest])))
+        ids, n = [], []
+        tokenize, spelled = self.tokenizer.model.tokenize, self.spelled
+        for i, (unit, text) in enumerate(zip(found, texts)):
+            own = others.get(i)
+            if own is not None:
+                own = own.tolist()
+            elif text.isascii():
+                own = [t.id for t in tokenize(text.replace(" ", spelled[32]))]
             else:
-                out.append(np.array(self._piece(m[1]) + (self._piece(m[2]) if m[2] else []), self.dtype))
-        for i, ids in zip(rest, self.whole([found[i].decode() for i in rest])):
-            out[i] = ids
-        return out
+                own = [t.id for t in tokenize(unit.decode("latin-1").translate(spelled))]
+            ids += own
+            n.append(len(own))
+        return np.array(ids, self.dtype), np.array(n, np.int64)
 
     def column(self, col: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, n): the ids of all texts of a column in a row, each text followed by
@@ -185,17 +202,16 @@ class Encoder:
         of = np.searchsorted(offs, start, side="right") - 1
         keep = ~odd[of]
         start, end, h, of = start[keep], end[keep], h[keep], of[keep]
-        keys = self.words.keys
-        at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
-        known = keys[at] == h if len(keys) else np.zeros(len(h), bool)
+        known, at = self.words.find(h)
         new, first, which = np.unique(h[~known], return_index=True, return_inverse=True)
         first = np.flatnonzero(~known)[first]
-        own = self.encode_units([raw[a:b].tobytes() for a, b in zip(start[first].tolist(), end[first].tolist())])
-        own += self.whole([text(i) for i in apart])
+        data = raw.tobytes()
+        own, sizes = self.encode_units([data[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())])
+        others = self.whole([text(i) for i in apart])
         if end_id is not None:
-            own.append(np.array([end_id], self.dtype))
-        pool = np.concatenate([self.words.ids, *own])
-        sizes = np.array([len(x) for x in own], np.int64)
+            others.append(np.array([end_id], self.dtype))
+        pool = np.concatenate([self.words.ids, own, *others])
+        sizes = np.append(sizes, [len(x) for x in others]).astype(np.int64)
         begins = len(self.words.ids) + np.cumsum(sizes) - sizes
         src, n = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
         src[known], n[known] = self.words.starts[at[known]], np.diff(self.words.starts)[at[known]]
@@ -253,8 +269,9 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", words: int =
     def encode(batches):
         enc = encoder(path)
         for batch in batches:
-            ids = enc.encode_units(batch.column("unit").to_pylist()) if enc.byte_level else []
-            yield pa.RecordBatch.from_arrays([batch.column("hash").slice(0, len(ids)), pa.array([x.tobytes() for x in ids], pa.binary())], names=["hash", "ids"])
+            ids, n = enc.encode_units(batch.column("unit").to_pylist() if enc.byte_level else [])
+            cells = [x.tobytes() for x in np.split(ids, np.cumsum(n)[:-1])] if len(n) else []
+            yield pa.RecordBatch.from_arrays([batch.column("hash").slice(0, len(n)), pa.array(cells, pa.binary())], names=["hash", "ids"])
 
     counted = some.mapInArrow(count, "hash long, unit binary, n long").groupBy("hash").agg(F.min("unit").alias("unit"), F.sum("n").alias("n"))
     best = counted.where("n > 1").orderBy(F.desc("n"), "hash").limit(words)
