@@ -23,9 +23,13 @@ _KEPT: dict[str, object] = {}
 
 def worker_kept(name: str | None, make=None):
     """An object that a worker process keeps from task to task. Workers are reused by
-    later stages, so what another kind of task has kept is dropped."""
-    for other in [k for k in _KEPT if k != name]:
+    later stages, so what another kind of task has kept is dropped, and Arrow's pool
+    gives back what it no longer uses."""
+    others = [k for k in _KEPT if k != name]
+    for other in others:
         del _KEPT[other]
+    if others or name is None:
+        pa.default_memory_pool().release_unused()
     if name is not None and name not in _KEPT:
         _KEPT[name] = make()
     return _KEPT.get(name)

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ PERCENT = 85
 ORDERS = ((0x9E3779B97F4A7C15, 1), (0xC2B2AE3D27D4EB4F, 8), (0x165667B19E3779F9, 32))
 #: Cells of the table of counts, as powers of two: with the input, within these bounds.
 CELL_BITS = (16, 26)
+#: At most so many shared halves of digests are resolved (no sound digest has as many).
+TWINS = 100_000
 _LIFT = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
                                      0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
 
@@ -57,13 +60,27 @@ def shingle_sets(col: pa.Array, size: int = SIZE) -> list[np.ndarray]:
     return out
 
 
-def _key(found: np.ndarray) -> int:
-    """A signed 64-bit key of a set (its first half of a 128-bit digest)."""
-    return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=16).digest()[:8], "little", signed=True)
+def _digest(found: np.ndarray) -> tuple[int, int]:
+    """Both signed halves of a set's 128-bit digest."""
+    return struct.unpack("<qq", hashlib.blake2b(found.tobytes(), digest_size=16).digest())
 
 
-def _check(found: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=16).digest()[8:], "little", signed=True)
+def _key(found: np.ndarray, twins: dict[int, int]) -> int:
+    """A signed 64-bit key of a set: the first half of its digest. Where different sets
+    share that half, ``twins`` names the second half of the one that keeps it; the
+    others take a key made of both halves."""
+    key, other = _digest(found)
+    if key in twins and other != twins[key]:
+        return int.from_bytes(hashlib.blake2b(struct.pack("<qq", key, other), digest_size=8).digest(), "little", signed=True)
+    return key
+
+
+def _twins(rows: DataFrame) -> dict[int, int]:
+    """First halves that several sets share, each with its smallest second half. Of n sets,
+    about n**2 / 2**65 pairs are of this kind: some hundreds for 10**11."""
+    sets = rows.where("key is not null").select("key", "check").distinct()
+    shared = sets.groupBy("key").agg(F.min("check").alias("check"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return {r["key"]: r["check"] for r in shared.limit(TWINS).collect()}
 
 
 def _survey(docs: DataFrame, text: str, bits: int, size: int) -> DataFrame:
@@ -81,8 +98,8 @@ def _survey(docs: DataFrame, text: str, bits: int, size: int) -> DataFrame:
             n, used = np.array([len(s) for s in sets], np.int64), [len(s) > 0 for s in sets]
             none = pa.nulls(len(sets), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array([_key(s) if u else None for s, u in zip(sets, used)], pa.int64()),
-                 pa.array([_check(s) if u else None for s, u in zip(sets, used)], pa.int64()), none, none, pa.nulls(len(sets), pa.binary())], names=names)
+                [batch.column("doc_id"), pa.array(n), *(pa.array([_digest(s)[half] if u else None for s, u in zip(sets, used)], pa.int64()) for half in (0, 1)),
+                 none, none, pa.nulls(len(sets), pa.binary())], names=names)
         for part in tables.emit(counts, salt):
             none = pa.nulls(part.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays([none] * 4 + part.columns, names=names)
@@ -90,16 +107,17 @@ def _survey(docs: DataFrame, text: str, bits: int, size: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, key long, check long, " + tables.SCHEMA)
 
 
-def _prefixes(docs: DataFrame, text: str, rarity, bits: int, size: int, percent: int) -> DataFrame:
+def _prefixes(docs: DataFrame, text: str, rarity, bits: int, size: int, percent: int, twins: dict[int, int]) -> DataFrame:
     """(key, n, first, second...): the first shingles of each set under each order, those
-    of the later orders as 16-bit prints. A task sends equal sets once."""
+    of the later orders as 16-bit prints. A block of text sends equal sets once, and of
+    those of all blocks one stays."""
 
     def run(batches):
-        seen: set[int] = set()
         for batch in columns.small_batches(batches, text):
+            seen: set[int] = set()
             keys, sizes, lists = [], [], [[] for _ in ORDERS]
             for s in shingle_sets(batch.column(text), size):
-                if not len(s) or (key := _key(s)) in seen:
+                if not len(s) or (key := _key(s, twins)) in seen:
                     continue
                 seen.add(key)
                 rank = rarity.value[(s >> np.uint64(64 - bits)).astype(np.int64)]
@@ -115,7 +133,8 @@ def _prefixes(docs: DataFrame, text: str, rarity, bits: int, size: int, percent:
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), *arrays],
                                                  names=["key", "n", "first", "second", "third"])
 
-    return docs.select(text).mapInArrow(run, "key long, n int, first array<long>, second array<short>, third array<short>")
+    sent = docs.select(text).mapInArrow(run, "key long, n int, first array<long>, second array<short>, third array<short>")
+    return sent.dropDuplicates(["key"])
 
 
 def _may_link(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> Column:
@@ -138,7 +157,7 @@ def _members(spark, keys: DataFrame, bits: int):
     return spark.sparkContext.broadcast(tables.total(cell.mapInArrow(run, tables.SCHEMA), (1 << bits,), np.uint8) > 0)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text: str, rows: DataFrame, bits: int, size: int, percent: int, orders: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, text: str, rows: DataFrame, bits: int, size: int, percent: int, orders: DataFrame, twins: dict[int, int]) -> DataFrame:
     """The pairs (a, b) of keys that all orders let pass and whose whole sets link."""
     b_side = orders.select(F.col("key").alias("b"), F.col("second").alias("b2"), F.col("third").alias("b3"))
     a_side = orders.select(F.col("key").alias("a"), F.col("second").alias("a2"), F.col("third").alias("a3"))
@@ -151,19 +170,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, rows: DataFrame, bit
     cell = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << bits)).alias("cell")
 
     def run(batches):
-        seen: set[int] = set()
         for batch in batches:
             own = np.flatnonzero(member.value[np.asarray(batch.column("cell"))])
             if not len(own):
                 continue
             for part in columns.small_batches([batch.take(pa.array(own))], text):
-                sets = [(_key(s), s) for s in shingle_sets(part.column(text), size) if len(s)]
-                sets = [(k, s) for k, s in dict(sets).items() if k not in seen]
-                seen.update(k for k, _ in sets)
+                sets = dict((_key(s, twins), s) for s in shingle_sets(part.column(text), size) if len(s)).items()
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sets], pa.int64()), pa.array([s.tobytes() for _, s in sets], pa.binary())], names=["key", "cells"])
 
     full = docs.where("doc_id is not null").select(text, cell).mapInArrow(run, "key long, cells binary").join(wanted.select("key"), "key", "left_semi")
-    full = materialise(full, "jaccard-sets")
+    full = materialise(full.dropDuplicates(["key"]), "jaccard-sets")
 
     def intersect(batches):
         for batch in batches:
@@ -194,12 +210,17 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, key: str
     bits = min(max(math.ceil(math.log2(max(docs.count(), 1) * 32)), CELL_BITS[0]), CELL_BITS[1])
     surveyed = materialise(_survey(docs, "text", bits, size), "jaccard-survey")
     rows = surveyed.where("chunk is null").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"), "check")
-    distinct = rows.where("key is not null").select("key", "check").distinct().agg(F.count(F.lit(1)), F.countDistinct("key")).collect()[0]
-    if distinct[0] != distinct[1]:
-        raise ValueError("two different sets share a 64-bit key; change the digest of _key")
+    twins = _twins(rows)
+    if twins:
+        # The rest of such sets take their own keys, here by the same rule as in _key.
+        own = F.udf(lambda key, check: int.from_bytes(hashlib.blake2b(struct.pack("<qq", key, check), digest_size=8).digest(), "little", signed=True), "long")
+        names = spark.createDataFrame(list(twins.items()), "key long, kept long")
+        rows = rows.join(names, "key", "left").withColumn(
+            "key", F.when(F.col("kept").isNotNull() & (F.col("check") != F.col("kept")), own("key", "check")).otherwise(F.col("key"))).drop("kept")
+        rows = materialise(rows.select("doc_id", "n_shingles", "key", "check"), "jaccard-rows")
     counts = tables.total(surveyed.where("chunk is not null").select("chunk", "salt", "cells"), (1 << bits,), np.uint32)
     rarity = spark.sparkContext.broadcast(np.minimum(8 * np.log2(counts + 1.0), 255).astype(np.uint8))
-    orders = materialise(_prefixes(docs.where("doc_id is not null"), "text", rarity, bits, size, percent), "jaccard-orders")
+    orders = materialise(_prefixes(docs.where("doc_id is not null"), "text", rarity, bits, size, percent, twins), "jaccard-orders")
 
     entries = orders.select("key", "n", F.posexplode("first").alias("pos", "shingle"))
     held = entries.groupBy("shingle").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("shingle")
@@ -208,7 +229,7 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, key: str
     pivots = shared.groupBy("shingle").agg(F.min_by("key", early).alias("a"), F.min_by("n", early).alias("a_n"), F.min_by("pos", early).alias("a_pos"))
     near = _may_link(F.col("n"), F.col("pos"), F.col("a_n"), F.col("a_pos"), percent)
     pairs = shared.join(pivots, "shingle").where((F.col("key") != F.col("a")) & near).select("a", F.col("key").alias("b")).distinct()
-    verify = lambda p: _verified(p, docs, "text", rows, bits, size, percent, orders)
+    verify = lambda p: _verified(p, docs, "text", rows, bits, size, percent, orders, twins)
     links = verify(pairs)
 
     # What is left: sets of different components that share a first shingle. One side
@@ -226,20 +247,32 @@ def classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, key: str
     more = verify(pairs)
     roots = components(links.union(more)).withColumnRenamed("vertex", "key")
 
-    rooted = rows.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    smallest = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("smallest"))
+    # The smallest id goes from rows to sets to components and back to sets; only the last
+    # join meets rows, by set, and copies of one set need no more than one row of it.
+    sets = rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
+    rooted = materialise(sets.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")), "jaccard-roots")
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("smallest"), F.count(F.lit(1)).alias("sets"))
+    linked = rooted.join(smallest.where("sets > 1"), "root").select("key", "smallest")
+    alone = rooted.join(smallest.where("sets = 1").select("root"), "root", "left_semi").select("key", F.col("least").alias("smallest"))
     component = F.coalesce("smallest", "doc_id").alias("component_id")
-    return rooted.join(smallest, "root", "left").select("doc_id", "n_shingles", component)
+    return rows.join(linked.union(alone), "key", "left").select("doc_id", "n_shingles", component)
 
 
 def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows, with all their columns, of the smallest doc_id of each class. Rows without
-    doc_id stay; rows of one doc_id stay or go together, and of those that share doc_id
-    and text one stays."""
-    found = materialise(classes(docs, size, percent, key, text), "jaccard-classes").where("doc_id is not null")
-    ids = found.groupBy("doc_id").agg(F.min("component_id").alias("least"), F.count(F.lit(1)).alias("rows"))
-    ids = ids.where((F.col("least") < F.col("doc_id")) | (F.col("rows") > 1)).select(
-        F.col("doc_id").alias("_id"), (F.col("least") < F.col("doc_id")).alias("_goes"))
-    marked = docs.join(ids, docs[key] == ids["_id"], "left")
-    single, repeated = marked.where("_id is null"), marked.where("not _goes").dropDuplicates([key, text])
-    return single.select(docs.columns).union(repeated.select(docs.columns))
+    """The rows, with all their columns, that come first in their class by doc_id. Rows
+    without doc_id or without words stay. Rows are judged one by one: of rows that share
+    a doc_id, those of one class come in the order of their texts' hashes and one stays,
+    and a text that is alone stays although another of its doc_id goes."""
+    names = [f"c{i}" for i in range(len(docs.columns))]  # the table's own names may be any
+    id_, text_ = (names[docs.columns.index(c)] for c in (key, text))
+    rows = docs.toDF(*names)
+    known = rows.where(F.col(id_).isNotNull())
+    repeated = known.groupBy(id_).count().where("count > 1").limit(1).count()
+    if repeated:  # every row gets a number that follows the ids
+        known = materialise(known.orderBy(id_, F.xxhash64(text_)).withColumn("row_", F.monotonically_increasing_id()), "jaccard-numbered")
+    else:
+        known = known.withColumn("row_", F.col(id_).cast("long"))
+    found = classes(known.select("row_", text_), size, percent, "row_", text_)
+    gone = materialise(found.where("component_id < doc_id").select(F.col("doc_id").alias("row_")), "jaccard-gone")
+    kept = known.join(gone, "row_", "left_anti").select(names)
+    return kept.union(rows.where(F.col(id_).isNull())).toDF(*docs.columns)

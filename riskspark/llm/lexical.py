@@ -46,7 +46,7 @@ def _terms(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- index
 
 
-def _index(docs: DataFrame, asked: np.ndarray, key: str, text: str) -> DataFrame:
+def _index(docs: DataFrame, asked: np.ndarray, key: str, text: str, most: int) -> DataFrame:
     """Blocks (docs, lengths, terms, starts, places, counts): the lists of the asked
     terms, in the order of the hashes; a block's documents are ordered by key. Documents
     without a term are left out."""
@@ -80,7 +80,7 @@ def _index(docs: DataFrame, asked: np.ndarray, key: str, text: str) -> DataFrame
             for column, part in zip(held, (batch.column(key).take(pa.array(full)), n[full], pairs // batch.num_rows, docs_held + new[pairs % batch.num_rows], count)):
                 column.append(part)
             docs_held, postings = docs_held + len(full), postings + len(pairs)
-            if postings >= BLOCK_POSTINGS or docs_held >= BLOCK_DOCUMENTS:
+            if postings >= BLOCK_POSTINGS or docs_held >= most:
                 yield block(*held)
                 held, docs_held, postings = [[], [], [], [], []], 0, 0
         if docs_held:
@@ -165,7 +165,7 @@ class Block:
         at = np.minimum(np.searchsorted(self.key, wanted), len(self.key) - 1)
         return (np.where(self.key[at] == wanted, self.impact[at], 0) * times[:, None]).sum(0)
 
-    def best(self, item: list[tuple[int, int]], k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    def best(self, item: list[tuple[int, int]], k: int, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, int]:
         """(documents, scores, documents looked at): the k best ones, ties to the first."""
         lists, times = self.lists(item)
         docs, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -177,7 +177,7 @@ class Block:
         while len(left):
             first = np.argsort(-bound, kind="stable")  # the queue, best bound first
             left, right, bound, split = left[first], right[first], bound[first], split[first]
-            a, b, d = left[:WIDTH], right[:WIDTH], split[:WIDTH]
+            a, b, d = left[:width], right[:width], split[:width]
             looked += len(d)
             docs, scores = np.append(docs, d), np.append(scores, self.scores(lists, times, d))
             order = np.lexsort((docs, -scores))[:k]
@@ -187,7 +187,7 @@ class Block:
             some = high > low
             low, high = low[some], high[some]
             more, at = self.bounds(lists, times, low, high) if len(low) else (np.zeros(0, np.int64),) * 2
-            left, right, bound, split = (np.append(x[WIDTH:], y) for x, y in ((left, low), (right, high), (bound, more), (split, at)))
+            left, right, bound, split = (np.append(x[width:], y) for x, y in ((left, low), (right, high), (bound, more), (split, at)))
             # Equal scores go to the smaller document, so an interval after all documents
             # held that can only equal the last of them is of no use, but others are.
             may = (bound > sure) | ((bound == sure) & (left <= (docs[-1] if len(docs) == k else self.size)))
@@ -196,7 +196,7 @@ class Block:
         return docs[some], scores[some], looked
 
 
-def _answers(index: DataFrame, items: list[list[tuple[int, int]]], n: int, total: int, weights: np.ndarray, k: int, kind: str) -> DataFrame:
+def _answers(index: DataFrame, items: list[list[tuple[int, int]]], n: int, total: int, weights: np.ndarray, k: int, kind: str, width: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
@@ -204,7 +204,7 @@ def _answers(index: DataFrame, items: list[list[tuple[int, int]]], n: int, total
                 if not len(cell("terms")):
                     continue
                 block = Block(cell("lengths", "<i8"), cell("terms").astype(np.int64), cell("starts"), cell("places"), cell("counts"), n, total, weights)
-                found = [block.best(item, k) for item in items]
+                found = [block.best(item, k, width) for item in items]
                 ids = batch.column("docs")[row].values
                 asked = np.repeat(np.arange(len(items)), [len(d) for d, _, _ in found])
                 yield pa.RecordBatch.from_arrays(
@@ -230,7 +230,8 @@ def _groups(items: DataFrame, item: str, text: str) -> Iterator[list[tuple]]:
             yield [(r[item], r[text]) for r in items.where(F.col("place").between(a, b - 1)).orderBy("place").collect()]
 
 
-def search(docs: DataFrame, items: DataFrame, k: int = TOP, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
+def search(docs: DataFrame, items: DataFrame, k: int = TOP, key: str = "doc_id", text: str = "text", item: str = "item_id",
+           block_documents: int = BLOCK_DOCUMENTS, width: int = WIDTH) -> DataFrame:
     """(item_id, rank, doc_id, score): each item's k documents with the highest score above
     0, equal scores by ascending doc_id (NULL last).
 
@@ -249,10 +250,10 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, key: str = "doc_id",
         asked, term = np.unique(h, return_inverse=True)
         ends = np.append(first, len(h))[1:len(group) + 1]
         queries = [list(zip(*(x.tolist() for x in np.unique(term[a:b], return_counts=True)))) for a, b in zip(first, ends)]
-        index = materialise(_index(docs, asked, key, text), "lexical-index")
+        index = materialise(_index(docs, asked, key, text, block_documents), "lexical-index")
         n, total, df = _statistics(index, len(asked))
         weights = np.array([math.floor(1000 * math.log((2 * n + 2) / (2 * d + 1))) for d in df.tolist()], np.int64)
-        answers = _answers(index, queries, n, total, weights, k, kinds[1])
+        answers = _answers(index, queries, n, total, weights, k, kinds[1], width)
         # Ties to the smaller id, NULL after all of them.
         best = ranked(answers.withColumns({"doc": F.col("vec_id"), "vec_id": F.struct(F.col("vec_id").isNull(), "vec_id")}), k, by="item")
         names = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(group)], f"item long, item_id {kinds[0]}")  # the group's items

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from riskspark.common import materialise
-from riskspark.llm.columns import BLOCK_BYTES, U64, _buffers, _powers, _TABLE, lengths, mix, small_batches
+from riskspark.llm.columns import BLOCK_BYTES, U64, _buffers, _powers, _TABLE, mix, small_batches
 
 WIDTH = 100
 GRAM = 30
@@ -106,18 +106,18 @@ class Phrases:
         return of, at, h, c
 
 
-def _slices(batches, key: str, text: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _slices(batches, key: str, text: str, piece_bytes: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(keys, first byte of the piece in its text, bytes, offsets): small slices of a
     batch; a long text comes in pieces that overlap by all but one byte of a string, so
     every string is in one piece and memory doesn't follow the longest text."""
-    for batch in small_batches(batches, text):
+    for batch in small_batches(batches, text, piece_bytes):
         keys = batch.column(key).to_numpy()
         offs, raw = _buffers(batch.column(text))
-        if batch.num_rows > 1 or len(raw) <= 2 * BLOCK_BYTES - WIDTH:
+        if batch.num_rows > 1 or len(raw) <= piece_bytes:
             yield keys, np.zeros(len(keys), np.int64), raw, offs
             continue
-        for at in range(0, len(raw), BLOCK_BYTES):
-            piece = raw[at:at + BLOCK_BYTES + WIDTH - 1]
+        for at in range(0, len(raw), piece_bytes):
+            piece = raw[at:at + piece_bytes + WIDTH - 1]
             yield keys, np.array([at]), piece, np.array([0, len(piece)])
 
 
@@ -171,7 +171,7 @@ def _spans(k: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, n
     return k[at], lo[at], np.maximum.reduceat(hi, at)
 
 
-def _parse(docs: DataFrame, ranges: int, hot: np.ndarray, key: str, text: str) -> DataFrame:
+def _parse(docs: DataFrame, ranges: int, hot: np.ndarray, key: str, text: str, stretch: int, piece: int) -> DataFrame:
     """(p, kind, cells): entries of each stretch of text by ranges of the trigger's hash
     (kind 0), and runs of starts that repeat inside the stretch (kind 1)."""
 
@@ -200,7 +200,7 @@ def _parse(docs: DataFrame, ranges: int, hot: np.ndarray, key: str, text: str) -
 
     def run(batches):
         held, size = [], 0
-        for keys, base, raw, offs in _slices(batches, key, text):
+        for keys, base, raw, offs in _slices(batches, key, text, piece):
             x = Phrases(raw, offs)
             if len(x.h):
                 place = lambda doc, at: base[doc] + at - offs[doc]
@@ -215,7 +215,7 @@ def _parse(docs: DataFrame, ranges: int, hot: np.ndarray, key: str, text: str) -
                     held.append({"k": keys[doc], "start": place(doc, at), "h": h, "c": c,
                                  "a": np.full(len(of), _STRING, np.uint8), "b": np.zeros(len(of), np.uint8)})
             size += len(raw)
-            if size >= STRETCH_BYTES and held:
+            if size >= stretch and held:
                 yield flush(held)
                 held, size = [], 0
         if held:
@@ -403,15 +403,15 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return materialise(hashed.join(places, same).select(hashed["id"], hashed["text"], "k"), "parsing-documents")
 
 
-def repeated_starts(docs: DataFrame, key: str = "k", text: str = "text", hot_seen: bool = True) -> DataFrame:
+def repeated_starts(docs: DataFrame, key: str = "k", text: str = "text", stretch: int = STRETCH_BYTES, piece: int = BLOCK_BYTES) -> DataFrame:
     """(k, lo, hi): runs of starts of strings of ``WIDTH`` bytes that also start earlier, in
     a document of smaller k or further left. k must be a long that names one text."""
     spark = docs.sparkSession
     shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = docs.agg(F.sum(F.octet_length(text)).alias("n")).collect()[0]["n"] or 0
     ranges = max(shuffled, math.ceil(2 * total / (SPAN + 1) / RANGE_ROWS))
-    hot = _hot(docs, total, min(MOST_HOT_KEYS, max(HOT_KEYS, 4 * ranges)), key, text) if hot_seen else np.zeros(0, U64)
-    found = materialise(_resolve(_parse(docs, ranges, hot, key, text)), "parsing-found")
+    hot = _hot(docs, total, min(MOST_HOT_KEYS, max(HOT_KEYS, 4 * ranges)), key, text)
+    found = materialise(_resolve(_parse(docs, ranges, hot, key, text, stretch, piece)), "parsing-found")
     shared = found.where("kind = 0")
     ranges = max(shuffled, math.ceil(shared.count() / RANGE_SURROUNDINGS))
     more = _compare(_surroundings(docs, shared, ranges, key, text))
@@ -427,7 +427,8 @@ def _cover(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[at], to[np.append(at[1:], len(lo)) - 1]
 
 
-def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
+def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False, stretch: int = STRETCH_BYTES,
+            piece: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row, and the bytes that
     stay if ``with_text``.
 
@@ -438,7 +439,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text:
     shorter than a string, loses nothing; an empty table gives no rows. Texts are UTF-8
     bytes, cut without regard to characters. Other columns are ignored."""
     keyed = _keyed(docs, key, text)
-    runs = repeated_starts(keyed).groupBy("k").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")).withColumnRenamed("k", "_k")
+    runs = repeated_starts(keyed, stretch=stretch, piece=piece).groupBy("k").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")).withColumnRenamed("k", "_k")
 
     def run(batches):
         for batch in small_batches(batches, "text"):

@@ -139,20 +139,18 @@ def removed(spark, rows, **more):
 def test_repeats_equal_brute_force(spark, monkeypatch, seen):
     monkeypatch.setattr(parsing, "HOT_SEEN", seen)  # low: triggers are split into strings
     monkeypatch.setattr(parsing, "HOT_KEYS", 10_000 * 40 // max(seen, 1))
-    monkeypatch.setattr(parsing, "STRETCH_BYTES", 4_000)
     rows = texts()
-    got = removed(spark, rows, with_text=True)
+    got = removed(spark, rows, with_text=True, stretch=4_000)
     want = brute_repeats(rows)
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want and len(got) == len(rows)
     assert all(hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"] and len(r["kept"]) == r["n_bytes"] - r["n_removed"] for r in got)
 
 
-def test_a_long_text_is_read_in_pieces(spark, monkeypatch):
-    monkeypatch.setattr(parsing, "BLOCK_BYTES", 1_000)
+def test_a_long_text_is_read_in_pieces(spark):
     rng = np.random.default_rng(5)
     whole = prose(rng, 2_000)
     rows = [(1, whole), (2, whole[3_000:9_500]), (3, prose(rng, 50) + whole[:700] + whole[500:900])]
-    assert {r["doc_id"]: tuple(r)[1:] for r in removed(spark, rows)} == brute_repeats(rows)
+    assert {r["doc_id"]: tuple(r)[1:] for r in removed(spark, rows, piece=1_000)} == brute_repeats(rows)
 
 
 def test_ids_that_are_null_or_repeated(spark):
@@ -199,8 +197,6 @@ WORDS = ["Straße", "Ärger", "alpha", "BETA", "gamma7", "été", "日本", "x",
 
 @pytest.mark.parametrize("documents,width", [(1 << 15, 16), (7, 1)])
 def test_search_equals_brute_force(spark, monkeypatch, documents, width):
-    monkeypatch.setattr(lexical, "BLOCK_DOCUMENTS", documents)
-    monkeypatch.setattr(lexical, "WIDTH", width)
     monkeypatch.setattr(lexical, "GROUP_BYTES", 200)
     rng = np.random.default_rng(1)
     docs = [(i, " the, ".join(rng.choice(WORDS, int(rng.integers(1, 40)))) + (" rare" if i % 50 == 0 else "")) for i in range(150)]
@@ -209,7 +205,7 @@ def test_search_equals_brute_force(spark, monkeypatch, documents, width):
     items = [(1, "X y, Z z"), (2, "rare ÉTÉ straße"), (3, None), (4, "..."), (5, "nowhere"), (6, "the " * 30), (7, "alpha beta gamma7 日本 common x"), (6, "the " * 30)]
     d = spark.createDataFrame([(i, t, 0, "q") for i, t in docs], "doc_id long, text string, score int, item string").repartition(4)
     q = spark.createDataFrame([(i, t, 1, "q") for i, t in items], "item_id long, text string, rank int, place string")
-    got = lexical.search(d, q).collect()
+    got = lexical.search(d, q, block_documents=documents, width=width).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute_search(docs, items[:-1])
     assert lexical.search(d.limit(0), q).count() == 0 and lexical.search(d, q.limit(0)).count() == 0
 

@@ -166,6 +166,34 @@ def test_jaccard_components(spark, docs, none):
     assert jaccard.classes(docs).count() == docs.count() and jaccard.classes(none).count() == 0
 
 
+def test_repeated_sets_stay_linear(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    df = spark.range(128).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, base).otherwise(base + " more").alias("text")).repartition(64)
+    cells = np.zeros(1 << 16, np.uint8)
+    sent = jaccard._prefixes(df, "text", spark.sparkContext.broadcast(cells), 16, 4, 85, {})
+    assert sent.count() == 2  # one row a set, however many tasks hold it
+    got = jaccard.classes(df).collect()
+    assert len(got) == 128 and {r["component_id"] for r in got} == {0}
+
+
+def test_sets_that_share_half_a_digest(spark):
+    a, b = np.arange(3, dtype=np.uint64), np.arange(4, dtype=np.uint64)
+    (key, check), other = jaccard._digest(a), jaccard._digest(b)
+    assert jaccard._key(a, {}) == key == jaccard._key(a, {key: check}) and jaccard._key(b, {key: check}) == other[0]
+    assert jaccard._key(a, {key: check - 1}) not in (key, check)  # another set keeps this half
+    rows = spark.createDataFrame([(5, 1), (5, 1), (5, -3), (6, 2), (None, None)], "key long, check long")
+    assert jaccard._twins(rows) == {5: -3}
+
+
+def test_one_of_each_judges_rows(spark):
+    long, other = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(1, long, 0, 0, 0), (2, long, 0, 0, 0), (2, other, 0, 0, 0), (3, other, 1, 0, 0), (4, None, 0, 0, 0), (4, "", 0, 0, 0), (None, long, 0, 0, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id int, row_ int, goes_ int")
+    got = jaccard.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got.collect()) == sorted([(0, long), (1, long), (2, other), (4, ""), (4, "")])
+
+
 def test_near_duplicates_of_the_pipeline(spark):
     import corpus_pipeline
 
