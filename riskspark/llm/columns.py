@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 
@@ -21,15 +24,27 @@ LOWER[65:91] += 32
 _KEPT: dict[str, object] = {}
 
 
+@cache
+def _trim():
+    """The C library's call that returns free pages, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+def give_back() -> None:
+    """Return memory that a worker has freed: it is reused by later stages, and what its
+    allocators keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def worker_kept(name: str | None, make=None):
     """An object that a worker process keeps from task to task. Workers are reused by
-    later stages, so what another kind of task has kept is dropped, and Arrow's pool
-    gives back what it no longer uses."""
-    others = [k for k in _KEPT if k != name]
-    for other in others:
+    later stages, so what another kind of task has kept is dropped."""
+    for other in [k for k in _KEPT if k != name]:
         del _KEPT[other]
-    if others or name is None:
-        pa.default_memory_pool().release_unused()
     if name is not None and name not in _KEPT:
         _KEPT[name] = make()
     return _KEPT.get(name)
@@ -52,6 +67,7 @@ def small_batches(batches, column: str, limit: int = BLOCK_BYTES, keep: str | No
             stop = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+    give_back()
 
 
 def _buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
