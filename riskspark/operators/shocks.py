@@ -2,36 +2,76 @@
 
 from __future__ import annotations
 
-from bisect import insort
-
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskspark.functions.numeric import flag
 from riskspark.operators.calendar import by_series
 
+#: Relative distance below which a volatility counts as equal to its threshold: a value
+#: carried on from the day that set the threshold may differ in the last bit.
+TOLERANCE = 1e-9
+
+
+def above(value: Column, threshold: Column) -> Column:
+    return value > threshold * (1 + TOLERANCE)
+
+
+def below(value: Column, threshold: Column) -> Column:
+    return value < threshold * (1 - TOLERANCE)
+
+
+class OrderStatistics:
+    """Counts of seen values by rank in a binary indexed tree: adding a value and finding
+    the k-th smallest take logarithmic time."""
+
+    def __init__(self, values: np.ndarray):
+        self.ranked = np.unique(values)
+        self.size = len(self.ranked)
+        self.tree = [0] * (self.size + 1)
+        self.top = 1 << max(self.size.bit_length() - 1, 0)
+        self.n = 0
+
+    def add(self, value: float) -> None:
+        i = int(np.searchsorted(self.ranked, value)) + 1
+        self.n += 1
+        while i <= self.size:
+            self.tree[i] += 1
+            i += i & -i
+
+    def kth(self, k: int) -> float:
+        """The k-th smallest value seen, from 0."""
+        at, step = 0, self.top
+        while step:
+            if at + step <= self.size and self.tree[at + step] <= k:
+                at += step
+                k -= self.tree[at]
+            step >>= 1
+        return float(self.ranked[at])
+
 
 def _running_quantile(values, q: float, least: int) -> list:
     """Expanding interpolated quantile of one day-grained series (NaN = missing)."""
-    seen, out = [], []
+    values = np.asarray(values, float)
+    seen, out = OrderStatistics(values[~np.isnan(values)]), []
     for v in values:
         if v == v:
-            insort(seen, v)
-        n = len(seen)
-        if n < least:
+            seen.add(v)
+        if seen.n < max(least, 1):
             out.append(None)
             continue
-        h = (n - 1) * q
+        h = (seen.n - 1) * q
         i = int(h)
-        low = seen[i]
-        out.append(low if i + 1 >= n else low + (seen[i + 1] - low) * (h - i))
+        low = seen.kth(i)
+        out.append(low if i + 1 >= seen.n else low + (seen.kth(i + 1) - low) * (h - i))
     return out
 
 
 def expanding_quantile(df: DataFrame, key: str, value: str, q: float = 0.95, least: int = 10) -> DataFrame:
     """Quantile of each series' own past, the current day included. A windowed
     percentile re-sorts the whole past on every row; here each series (one row per
-    day, so bounded by the calendar) keeps one sorted list and inserts into it."""
+    day, so bounded by the calendar) keeps counts by rank and looks the k-th value up."""
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date", ignore_index=True)
         return pdf.assign(threshold=pd.Series(_running_quantile(pdf[value].to_numpy(), q, least), dtype="float64"))
@@ -45,7 +85,7 @@ def expanding_quantile(df: DataFrame, key: str, value: str, q: float = 0.95, lea
 def shock_days(df: DataFrame, key: str = "portfolio", value: str = "vol5") -> DataFrame:
     """1 on days above the series' own expanding 95th percentile."""
     out = expanding_quantile(df, key, value)
-    return out.withColumn("shock", flag(F.col(value) > F.col("threshold")))
+    return out.withColumn("shock", flag(above(F.col(value), F.col("threshold"))))
 
 
 def recovery_days(shocks: DataFrame, key: str = "portfolio", value: str = "vol5", sustain: int = 3) -> DataFrame:
@@ -54,7 +94,7 @@ def recovery_days(shocks: DataFrame, key: str = "portfolio", value: str = "vol5"
     the end of the series keeps the next calm day in one growing frame."""
     w = by_series(key)
     work = shocks.filter(F.col(value).isNotNull())
-    calm = flag(F.col(value) < F.col("threshold"))
+    calm = flag(below(F.col(value), F.col("threshold")))
     work = work.withColumns({"rn": F.row_number().over(w), "n": F.count(F.lit(1)).over(W.partitionBy(key)),
                              "calm": calm})
     run = F.col("calm")

@@ -2,17 +2,17 @@
 
 from pyspark.sql import functions as F, types as T
 
-from riskspark import constants as K, fixtures as fx, schemas
-from riskspark.common import r, rounded, scratch_path
+from riskspark import fixtures as fx
+from riskspark.common import rounded, scratch_path
 from riskspark.functions import dates
-from riskspark.operators import joins as jn, normalise as nz, rolling as ro
-from riskspark.plans import inputs as x
+from riskspark.operators import normalise as nz
 from riskspark.plans.aggregates import R
 from riskspark.plans.registry import query
 from riskspark.plans.shared_sql import CTES
-from riskspark.streaming import incremental as inc
+from riskspark.streaming import dedupe as dd, incremental as inc, keyindex as ki, prices as ps, upsert as up
 
-DELAY = "1 day"
+#: How far behind the newest event a day may still change.
+LATE = "30 days"
 
 
 def _events(s, d):
@@ -35,14 +35,12 @@ CTES["c_events_scored"] = """
 
 @query("stream_daily_sentiment", f"""
     SELECT CAST(ts AS DATE) AS date, domain, {R('avg(prob_pos)')} AS avg_prob_pos, {R('avg(prob_neg)')} AS avg_prob_neg,
-           count(*) AS article_count FROM c_events_scored GROUP BY 1, 2
-    HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""")
+           count(*) AS article_count FROM c_events_scored GROUP BY 1, 2""")
 def stream_daily_sentiment(s, d):
-    """Days closed by the watermark; the newest stay open until later events arrive."""
+    """All days, the open ones included: changed days are upserted by (date, domain)."""
     path, ck = scratch_path(s, "daily_stream"), scratch_path(s, "ck")
-    out = inc.daily_sentiment_stream(_events(s, d), "ts", DELAY)
-    inc.write_append(out, path, ck)
-    return rounded(s.read.schema(out.schema).parquet(path), "avg_prob_pos", "avg_prob_neg")
+    up.write_updates(up.daily_sentiment(_events(s, d), "ts", LATE), path, ck)
+    return rounded(up.latest(s, path, ["date", "domain"]), "avg_prob_pos", "avg_prob_neg")
 
 
 CTES["c_inc0"] = "SELECT ticker, date, price, ln(price / lag(price) OVER (PARTITION BY ticker ORDER BY date)) AS ret FROM c_prices"
@@ -52,8 +50,8 @@ CTES["c_inc"] = """SELECT * FROM (SELECT ticker, date, price, CASE WHEN count(re
 
 @query("inc_update_prices", f"SELECT ticker, date, {R('price')} AS price, {R('vol5')} AS vol5 FROM c_inc")
 def inc_update_prices(s, d):
-    """Sums of landed trades per batch, merged on read into prices, then five-row volatility."""
-    sink, ck = scratch_path(s, "price_sink"), scratch_path(s, "ck")
+    """Landed trades merged into months of prices, windows continued from stored tails."""
+    root, ck = scratch_path(s, "price_store"), scratch_path(s, "ck")
     part = fx.table(s, d, "part").select("p_partkey", fx._ticker().alias("ticker"))
     stream = inc.read_landed(s, d, fx.table(s, d, "lineitem").schema, "lineitem")
 
@@ -62,16 +60,25 @@ def inc_update_prices(s, d):
         t = batch.select("l_partkey", day, "l_quantity", "l_extendedprice").join(part, F.col("l_partkey") == F.col("p_partkey"))
         return t.groupBy("ticker", "date").agg(F.sum("l_extendedprice").alias("amount"), F.sum("l_quantity").alias("quantity"))
 
-    stored = inc.update_prices(s, stream, shape, sink, ck)
-    t = stored.withColumn("ret", ro.log_return("price", "ticker")).withColumn("vol5", ro.roll_std("ret", 5, 2, "ticker"))
-    return rounded(t.select("ticker", "date", "price", "vol5"), "price", "vol5")
+    stored = ps.update_prices(s, stream, shape, root, ck)
+    return rounded(stored.select("ticker", "date", "price", "vol5"), "price", "vol5")
+
+
+def _headlines(s, d):
+    """Landed orders as headlines."""
+    t = inc.read_landed(s, d, fx.table(s, d, "orders").schema, "orders")
+    return t.select(F.concat(F.lit("Customer "), "o_custkey", F.lit(" moves the market")).alias("headline"),
+                    F.col("o_orderkey").alias("article_id"), F.to_date("o_orderdate").alias("date"))
 
 
-@query("inc_update_news", "SELECT DISTINCT user_id FROM events")
+@query("inc_update_news", """
+    SELECT headline, f.date AS date, f.article_id AS article_id FROM (
+      SELECT 'Customer ' || o_custkey || ' moves the market' AS headline,
+             min(struct_pack(date := CAST(o_orderdate AS DATE), article_id := o_orderkey)) AS f FROM orders GROUP BY 1)""")
 def inc_update_news(s, d):
-    """Stream deduplicated by key; the key here is the user."""
+    """First copy of each headline over all batches, by state per headline."""
     path, ck = scratch_path(s, "news_stream"), scratch_path(s, "ck")
-    out = inc.dedupe_stream(_events(s, d).select("user_id", "ts"), "user_id", "ts", "3650 days").select("user_id")
+    out = dd.first_copies(_headlines(s, d), order=("date", "article_id"))
     inc.write_append(out, path, ck)
     return s.read.schema(out.schema).parquet(path)
 
@@ -82,12 +89,11 @@ def inc_resume(s, d):
     and headlines stored by the first are not appended again."""
     sink, ck = scratch_path(s, "resume_sink"), scratch_path(s, "ck")
     schema = T.StructType([T.StructField("headline", T.StringType()), T.StructField("article_id", T.LongType())])
-    shape = lambda b: b.select(F.concat(F.lit("Customer "), "o_custkey", F.lit(" moves the market")).alias("headline"),
-                               F.col("o_orderkey").alias("article_id"))
-    each = inc.append_new(sink, ["headline"], [F.col("article_id")], schema, shape)
+    store = lambda spark: ki.IndexedSink(spark, sink, ["headline"], schema)
+    each = lambda batch, number: store(batch.sparkSession).append(batch.select("headline", "article_id"), number, [F.col("article_id")])
     for _ in range(2):
-        inc.run_once(inc.read_landed(s, d, fx.table(s, d, "orders").schema, "orders"), ck, each)
-    return s.read.schema(schema).parquet(sink).select("headline", "article_id")
+        inc.run_once(_headlines(s, d), ck, each)
+    return store(s).read()
 
 
 @query("inc_month_buckets", """

@@ -30,7 +30,7 @@ CTES["c_pff"] = f"""
            lag(vol5) {PF} AS lagged_vol, {avg_gate('vol5', 20, 5, 'portfolio')} AS pre_shock_baseline,
            CASE WHEN count(vol5) {PF} >= 10 THEN quantile_cont(vol5, 0.95) {PF} END AS threshold
     FROM c_pf"""
-CTES["c_shock"] = "SELECT *, coalesce((vol5 > threshold)::INT, 0) AS shock FROM c_pff"
+CTES["c_shock"] = "SELECT *, coalesce((vol5 > threshold * (1 + 1e-9))::INT, 0) AS shock FROM c_pff"
 CTES["c_domf0"] = f"""
     SELECT *, {', '.join(f'lag(sentiment_score, {i}) {DM} AS lag{i}_sentiment_score' for i in range(1, 8))},
            (article_count - {avg_gate('article_count', 20, 3, 'domain')})
@@ -49,7 +49,7 @@ CTES["c_regime"] = f"""
     WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""
 CTES["c_work"] = f"""
     SELECT *, row_number() {PF} AS rn, count(*) OVER (PARTITION BY portfolio) AS n,
-           coalesce((vol5 < threshold)::INT, 0) AS calm FROM c_shock WHERE vol5 IS NOT NULL"""
+           coalesce((vol5 < threshold * (1 - 1e-9))::INT, 0) AS calm FROM c_shock WHERE vol5 IS NOT NULL"""
 CTES["c_calm"] = f"""
     SELECT *, calm * coalesce(lead(calm) {PF}, 0) * coalesce(lead(calm, 2) {PF}, 0) AS run FROM c_work"""
 CTES["c_recovery"] = """

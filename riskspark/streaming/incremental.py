@@ -3,13 +3,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from riskspark.operators import normalise as nz
-
 
 def read_landed(spark: SparkSession, folder: str, schema: T.StructType, table: str, files_per_batch: int = 1000) -> DataFrame:
     """Stream a landed table, which may be one file ``<table>.parquet`` or a folder of
@@ -24,64 +20,6 @@ def run_once(stream: DataFrame, checkpoint: str, each) -> None:
     q.awaitTermination()
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The sink's rows, empty before the first batch."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    exists = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
-    return spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)
-
-
-def append_new(path: str, keys: list[str], order: list[Column], schema: T.StructType, shape=lambda df: df):
-    """foreachBatch writer: shape the batch, keep the first row per key, append keys the
-    sink does not hold. Each batch overwrites its own folder, so a repeated batch
-    changes nothing."""
-    def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = nz.keep_first(shape(batch), keys, order)
-        old = _stored(spark, path, schema)
-        if "batch" in old.columns:
-            old = old.filter(F.col("batch") != batch_id)
-        new = rows.join(old.select(*keys).distinct(), keys, "left_anti").select(*schema.fieldNames())
-        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-    return each
-
-
-def update_prices(spark: SparkSession, stream: DataFrame, shape, sink: str, checkpoint: str) -> DataFrame:
-    """Store each batch's sums (ticker, date, amount, quantity) and return the prices of
-    all batches: sums merge, so a day whose trades land in several batches comes out
-    as if it had landed at once. A repeated batch overwrites its own folder."""
-    def each(batch: DataFrame, batch_id: int) -> None:
-        shape(batch).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
-    run_once(stream, checkpoint, each)
-    merged = spark.read.parquet(sink).groupBy("ticker", "date").agg(F.sum("amount").alias("amount"), F.sum("quantity").alias("quantity"))
-    return merged.select("ticker", "date", F.try_divide("amount", "quantity").alias("price"))
-
-
-def tail_history(stored: DataFrame, since: dt.date | Column, rows: int, key: str = "ticker") -> DataFrame:
-    """New rows plus the trailing rows before them, so that windows recomputed on an
-    increment continue instead of starting over."""
-    from pyspark.sql import Window as W
-    old = stored.filter(F.col("date") < since).withColumn(
-        "_k", F.row_number().over(W.partitionBy(key).orderBy(F.desc("date")))).filter(F.col("_k") <= rows).drop("_k")
-    return old.unionByName(stored.filter(F.col("date") >= since))
-
-
-def dedupe_stream(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
-    """First row per key within the watermark; state is dropped once it has passed."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
-
-
-def daily_sentiment_stream(stream: DataFrame, time: str, delay: str) -> DataFrame:
-    """Streaming form of the daily aggregate: tumbling days, final once the watermark
-    passes their end."""
-    w = stream.withWatermark(time, delay).groupBy(F.window(time, "1 day"), "domain").agg(
-        F.avg("prob_pos").alias("avg_prob_pos"), F.avg("prob_neg").alias("avg_prob_neg"),
-        F.count(F.lit(1)).alias("article_count"))
-    return w.select(F.to_date("window.start").alias("date"), "domain", "avg_prob_pos", "avg_prob_neg", "article_count")
-
-
 def write_append(df: DataFrame, path: str, checkpoint: str) -> None:
     q = (df.writeStream.format("parquet").outputMode("append").option("path", path)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
