@@ -78,9 +78,14 @@ BRANDING = {
 # --- fixed values: page containers that hold headlines, per site --------------
 # (tag, class or None); a container yields its first link
 SITE_CONTAINERS = {
-    "Moneycontrol": [("div", "MT15"), ("li", "clearfix"), ("h2", None), ("h3", None)],
-    "EconomicTimes": [("div", "eachStory"), ("li", None)],
-    "Livemint": [("div", "listing_row"), ("h2", "headline")],
+    "Moneycontrol": "div.MT15, li.clearfix, h2, h3",
+    "EconomicTimes": "div.eachStory, div.main-content li",
+    "Livemint": "div.listing_row",
+}
+LISTING_CONTAINERS = {
+    "Moneycontrol": "li.clearfix, div.f3",
+    "EconomicTimes": "div.eachStory, ul.content li",
+    "Livemint": "div.listing_row, div.headline_list",
 }
 
 # --- fixed values: model settings ---------------------------------------------

@@ -96,3 +96,6 @@ def domain_weights(spark: SparkSession, weights: dict | None = None) -> DataFram
 
 def cause_effect_pairs(spark: SparkSession) -> DataFrame:
     return dimension(spark, K.CAUSE_EFFECT_PAIRS, "cause string, effect string")
+
+#: Containers of the given pages, which are none of the configured sites.
+PAGE_CONTAINERS = {"Pages": "nav li"}

@@ -61,13 +61,17 @@ def mean_pair_correlation(returns: DataFrame, bridge: DataFrame, rows: int = 20,
         F.try_divide(F.sum("dots"), F.sum("pairs")).alias("intra_corr")).filter("intra_corr IS NOT NULL")
 
 
-def lagged_correlations(df: DataFrame, keys: list[str], x: str, y: str, max_lag: int) -> DataFrame:
+def lagged_correlations(df: DataFrame, keys: list[str], x: str, y: str, max_lag: int, least: int = 0) -> DataFrame:
     """corr(x[t-k], y[t]) for k = 0..max_lag on complete rows of each series, in one
-    window and one aggregate; a constant side counts as 0."""
+    window and one aggregate; a constant side counts as 0. With ``least``, series of
+    fewer complete rows or with a constant side are left out."""
     full = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     w = W.partitionBy(*keys).orderBy("date")
     full = full.withColumns({f"_x{k}": F.lag(x, k).over(w) for k in range(max_lag + 1)})
     agg = full.groupBy(*keys).agg(*[pearson(F.col(f"_x{k}"), F.col(y)).alias(f"_r{k}") for k in range(max_lag + 1)])
+    if least:
+        sides = full.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), (F.min(x) < F.max(x)).alias("_x"), (F.min(y) < F.max(y)).alias("_y"))
+        agg = agg.join(sides.filter((F.col("_n") >= least) & F.col("_x") & F.col("_y")).select(*keys), keys, "left_semi")
     cells = F.array(*[F.struct(F.lit(k).alias("lag"), F.coalesce(f"_r{k}", F.lit(0.0)).alias("r"))
                       for k in range(max_lag + 1)])
     return agg.select(*keys, F.inline(cells))

@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from riskspark import constants as K
@@ -13,27 +15,52 @@ from riskspark import constants as K
 LABELS = ("positive", "negative", "neutral")
 
 
+def _valences(words: pa.Array, keys: pa.Array, values: np.ndarray) -> np.ndarray:
+    """The valence of each word, 0 if unknown; a hash look-up whatever the lexicon's size."""
+    at = pc.index_in(words, value_set=keys)
+    known = np.asarray(at.is_valid())
+    out = np.zeros(len(words))
+    out[known] = values[np.asarray(at.drop_null())]
+    return out
+
+
+def _table(lexicon: dict[str, float]) -> tuple[pa.Array, np.ndarray]:
+    return pa.array(list(lexicon), pa.string()), np.array(list(lexicon.values()), float)
+
+
 def lexicon_score(df: DataFrame, key: list[str], text: str, lexicon: dict[str, float] = K.LEXICON,
                   alpha: float = K.LEXICON_ALPHA) -> DataFrame:
     """Compound score s / sqrt(s² + alpha), s the summed valence of the words. The lexicon
-    is a literal map, so each text is scored where it is read: no join and no shuffle.
-    A NULL or empty text scores 0."""
-    valence = F.create_map(*[F.lit(x) for item in lexicon.items() for x in item])
-    words = F.coalesce(F.split(F.lower(text), r"[^\p{L}]+"), F.array().cast("array<string>"))
-    s = F.aggregate(words, F.lit(0.0), lambda a, w: a + F.coalesce(F.try_element_at(valence, w), F.lit(0.0)))
-    return df.select(*key, s.alias("_s")).select(*key, (F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + alpha)).alias("compound"))
-
-
-def lexicon_scorer() -> Callable[[pd.Series], np.ndarray]:
+    travels with the task and is looked up by hash for all words of an Arrow batch, so
+    neither its size nor a join counts. A NULL or empty text scores 0."""
+    names = [f"k{i}" for i in range(len(key))]
+    rows = df.select(*[F.col(c).alias(n) for c, n in zip(key, names)], F.lower(text).alias("t"))
+
+    def run(batches):
+        keys, values = _table(lexicon)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                words = pc.split_pattern_regex(part.column("t").cast(pa.string()).fill_null(""), pattern=r"[^\p{L}]+")
+                owner = np.repeat(np.arange(part.num_rows), np.asarray(pc.list_value_length(words)))
+                s = np.bincount(owner, _valences(words.flatten(), keys, values), part.num_rows)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(s / np.sqrt(s * s + alpha))], names=[*names, "compound"])
+
+    kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
+    scored = rows.mapInArrow(run, f"{kinds}, compound double")
+    return scored.toDF(*key, "compound")
+
+
+def lexicon_scorer(lexicon: dict[str, float] = K.LEXICON) -> Callable[[pd.Series], np.ndarray]:
     """Default model: class logits from positive and negative word weight."""
-    table = K.LEXICON
+    keys, values = _table(lexicon)
 
     def logits(texts: pd.Series) -> np.ndarray:
-        out = np.zeros((len(texts), 3))
-        for i, t in enumerate(texts):
-            v = [table.get(w.strip(".,:;!?|\"'").lower(), 0.0) for w in (t or "").split()]
-            out[i] = (sum(x for x in v if x > 0), -sum(x for x in v if x < 0), 0.5)
-        return out
+        words = pc.utf8_split_whitespace(pa.array(texts, pa.string()).fill_null(""))
+        owner = np.repeat(np.arange(len(texts)), np.asarray(pc.list_value_length(words)))
+        v = _valences(pc.utf8_lower(pc.utf8_trim(words.flatten(), characters=".,:;!?|\"'")), keys, values)
+        pos, neg = (np.bincount(owner, np.maximum(x, 0), len(texts)) for x in (v, -v))
+        return np.column_stack([pos, neg, np.full(len(texts), 0.5)])
     return logits
 
 

@@ -121,9 +121,26 @@ def src_html_links(s, d):
     return rd.page_links(fx.table(s, d, "pages"))
 
 
-@query("src_html_containers")
+CTES["c_nav"] = r"""
+    SELECT page_id, url, (row_number() OVER (PARTITION BY page_id ORDER BY p, i) - 1)::INT AS pos, item FROM (
+        SELECT page_id, url, p, unnest(items) AS item, generate_subscripts(items, 1) AS i FROM (
+            SELECT page_id, url, p, regexp_extract_all(nav, '(?is)<li[^>]*>(.*?)</li>', 1) AS items FROM (
+                SELECT page_id, url, unnest(n) AS nav, generate_subscripts(n, 1) AS p
+                FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<nav[ >].*?</nav>') AS n FROM pages))))"""
+CTES["c_navlinks"] = f"""
+    SELECT page_id, pos, url, regexp_extract(item, '{rd.ANCHOR}', 1) AS href, regexp_extract(item, '{rd.ANCHOR}', 2) AS inner_html
+    FROM c_nav WHERE regexp_matches(item, '{rd.ANCHOR}')"""
+
+
+@query("src_html_containers", f"""
+    SELECT page_id, 'Pages' AS site, pos, link, headline FROM (
+        SELECT page_id, pos, replace(replace(CASE WHEN starts_with(href, 'http') THEN href
+            ELSE 'https://' || split_part(url, '/', 3) || href END, '.com./', '.com/'), '.co./', '.co/') AS link,
+            {_clean_sql(_strip_sql('inner_html'))} AS headline FROM c_navlinks)
+    WHERE NOT regexp_matches(headline, '{"(?i)" + "|".join(K.JUNK_PATTERNS)}')""")
 def src_html_containers(s, d):
-    return rd.container_headlines(fx.table(s, d, "pages"), K.SITE_CONTAINERS["EconomicTimes"])
+    """Containers of all configured sites, and of the given pages, in one reading of each page."""
+    return rd.container_headlines(fx.table(s, d, "pages"), {**K.SITE_CONTAINERS, **fx.PAGE_CONTAINERS})
 
 
 @query("src_rss_entry", """

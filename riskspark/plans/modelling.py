@@ -251,7 +251,7 @@ def m4_adf(s, d):
     return lg.adf(_all_series(s, d), "series", "value")
 
 
-def _pair_rows(s, d):
+def stationary_pairs(s, d):
     t = _stationary(s, d)
     name = F.substring_index
     cause = t.filter(t.series.startswith("sentiment_")).select(
@@ -264,7 +264,7 @@ def _pair_rows(s, d):
 
 @query("m4_granger")
 def m4_granger(s, d):
-    rows = materialise(_pair_rows(s, d), "pairs")
+    rows = materialise(stationary_pairs(s, d), "pairs")
     plain = lg.granger(rows, ["cause", "effect"], "y", "x")
     given = lg.granger(rows.filter("cause <> 'financial'"), ["cause", "effect"], "y", "x", "z")
     return plain.unionByName(given)

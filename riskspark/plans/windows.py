@@ -271,14 +271,36 @@ CTES["c_pairts"] = """
     SELECT cause, effect, x.date, x.sentiment_score AS x, y.vol5 AS y FROM c_pairs
     JOIN c_dom x ON x.domain = cause JOIN c_pf y ON y.portfolio = effect AND y.date = x.date
     WHERE x.sentiment_score IS NOT NULL AND y.vol5 IS NOT NULL"""
+# Series that a unit-root test does not clear are differenced. The check tests without
+# lagged differences: t of the level in a regression of the change on it, 5 % level.
+CTES["c_rawts"] = """
+    SELECT 'x ' || domain AS series, date, sentiment_score AS v FROM c_dom UNION ALL SELECT 'y ' || portfolio, date, vol5 FROM c_pf"""
+CTES["c_unit"] = """
+    SELECT series, b / sqrt((syy - b * b * sxx) / (n - 2) / sxx) < -2.8634 AS stationary FROM (
+        SELECT series, regr_slope(d, l) AS b, regr_syy(d, l) AS syy, regr_sxx(d, l) AS sxx, regr_count(d, l) AS n FROM (
+            SELECT series, v - lag(v) OVER w AS d, lag(v) OVER w AS l FROM c_rawts WHERE v IS NOT NULL
+            WINDOW w AS (PARTITION BY series ORDER BY date)) GROUP BY 1) WHERE n >= 11 AND sxx > 0"""
+CTES["c_stat"] = """
+    SELECT series, date, CASE WHEN coalesce(stationary, TRUE) THEN v
+           ELSE v - lag(v) OVER (PARTITION BY series ORDER BY date) END AS v FROM c_rawts LEFT JOIN c_unit USING (series)"""
+CTES["c_statts"] = """
+    SELECT cause, effect, x.date, x.v AS x, y.v AS y FROM c_pairs
+    JOIN c_stat x ON x.series = 'x ' || cause JOIN c_stat y ON y.series = 'y ' || effect AND y.date = x.date
+    WHERE x.v IS NOT NULL AND y.v IS NOT NULL"""
 CTES["c_ccf"] = """
     SELECT cause, effect, k::INT AS lag, round_even(coalesce(corr(xk, y), 0), 4) + 0.0 AS r FROM (
         SELECT cause, effect, k, y, lag(x, k) OVER (PARTITION BY cause, effect, k ORDER BY date) AS xk
-        FROM c_pairts CROSS JOIN (SELECT unnest(range(6)) AS k)) GROUP BY 1, 2, 3"""
+        FROM c_statts CROSS JOIN (SELECT unnest(range(6)) AS k))
+    WHERE (cause, effect) IN (SELECT (cause, effect) FROM c_statts GROUP BY cause, effect
+                              HAVING count(*) >= 10 AND min(x) < max(x) AND min(y) < max(y)) GROUP BY 1, 2, 3"""
+#: Fewer complete rows than this tell nothing about lags.
+LEAST_PAIR_ROWS = 10
 
 
 def ccf(s, d):
-    t = co.lagged_correlations(pair_series(s, d), ["cause", "effect"], "x", "y", K.MAX_LAG)
+    """Lag correlations of the pairs' stationary series."""
+    from riskspark.plans.modelling import stationary_pairs
+    t = co.lagged_correlations(stationary_pairs(s, d), ["cause", "effect"], "x", "y", K.MAX_LAG, LEAST_PAIR_ROWS)
     return t.withColumn("r", F.bround("r", 4) + F.lit(0.0))
 
 

@@ -99,52 +99,111 @@ def page_headings(pages: DataFrame) -> DataFrame:
                     tx.clean_headline(tx.strip_tags(F.col("inner"))).alias("headline"))
 
 
+class Selectors:
+    """Tag and class selectors with descendant steps ("ul.content li"), compiled to bits.
+
+    Each step of each selector has a bit. An element's state holds the steps that it or an
+    ancestor has reached; a child reaches the next step if the bit before it is set in its
+    parent's state and its own tag and classes match. All selectors of all sites move at
+    once, by a shift."""
+
+    def __init__(self, sites: dict[str, str]):
+        self.start = 0
+        self.steps: list[tuple[int, str, frozenset[str]]] = []
+        self.last: dict[int, str] = {}
+        at = 0
+        for site, alternatives in sites.items():
+            for selector in alternatives.split(","):
+                self.start |= 1 << at
+                for step in selector.split():
+                    tag, *classes = step.split(".")
+                    self.steps.append((1 << at, tag.lower(), frozenset(classes)))
+                    at += 1
+                self.last[1 << (at - 1)] = site
+                at += 1
+        self.known: dict[tuple[str, str], int] = {}
+
+    def matches(self, tag: str, classes: str) -> int:
+        """The steps that an element can take, by its tag and classes alone."""
+        found = self.known.get((tag, classes))
+        if found is None:
+            own = set(classes.split())
+            found = sum(bit for bit, want, need in self.steps if want in ("", "*", tag) and need <= own)
+            if len(self.known) < 100_000:
+                self.known[tag, classes] = found
+        return found
+
+    def move(self, state: int, tag: str, classes: str) -> tuple[int, list[str]]:
+        """(state of the element, sites that one of whose selectors it completes)."""
+        taken = state & self.matches(tag, classes)
+        sites = dict.fromkeys(site for bit, site in self.last.items() if taken & bit)
+        return state | (taken << 1), list(sites)
+
+
 class _Containers(HTMLParser):
-    """First link inside each wanted container."""
+    """The first link inside each container of each site, nested containers included."""
 
-    VOID = {"br", "img", "hr", "meta", "link", "input"}
+    VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
-    def __init__(self, wanted):
+    def __init__(self, selectors: Selectors):
         super().__init__()
-        self.wanted, self.open, self.found, self.link = wanted, [], [], None
+        self.selectors, self.found, self.link = selectors, [], None
+        self.open: list[tuple[str, int, list[dict]]] = []  # tag, state, containers opened here
+        self.waiting: list[dict] = []
 
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
-        classes = (attrs.get("class") or "").split()
-        hit = any(tag == t and (c is None or c in classes) for t, c in self.wanted)
+        state, sites = self.selectors.move(self.open[-1][1] if self.open else self.selectors.start, tag, attrs.get("class") or "")
+        boxes = [{"site": s, "href": None, "text": []} for s in sites]
+        self.found += boxes
         if tag not in self.VOID:
-            self.open.append([tag, hit, False])
-        if tag == "a" and attrs.get("href") and self.link is None:
-            box = next((o for o in reversed(self.open) if o[1]), None)
-            if box is not None and not box[2]:
-                box[2], self.link = True, [attrs["href"], []]
+            self.open.append((tag, state, boxes))
+            self.waiting += boxes
+        if tag == "a" and "href" in attrs:
+            if self.link is None:
+                self.link = []
+            for box in self.waiting:
+                box["href"] = attrs["href"] or ""
+            self.link += self.waiting
+            self.waiting = []
 
     def handle_data(self, data):
-        if self.link is not None:
-            self.link[1].append(data.strip())
+        for box in self.link or ():
+            box["text"].append(data.strip())
 
     def handle_endtag(self, tag):
-        if tag == "a" and self.link is not None:
-            self.found.append((self.link[0], "".join(self.link[1])))
+        if tag == "a":
             self.link = None
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
+                closed = {id(b) for _, _, boxes in self.open[i:] for b in boxes}
+                if closed:
+                    self.waiting = [b for b in self.waiting if id(b) not in closed]
                 del self.open[i:]
                 break
 
 
-def container_headlines(pages: DataFrame, containers: list[tuple]) -> DataFrame:
-    """First link of each site container; for nesting that patterns cannot follow."""
+def container_headlines(pages: DataFrame, sites: dict[str, str]) -> DataFrame:
+    """(page_id, site, pos, link, headline): the first link of each container that a site's
+    selectors name, in page order, junk left out. A page is read once for all sites;
+    nested containers each have a link of their own or share one."""
     def parse(batches):
+        selectors = Selectors(sites)
         for pdf in batches:
             rows = []
             for pid, url, html in pdf.itertuples(index=False):
-                p = _Containers(containers)
+                p = _Containers(selectors)
                 p.feed(html or "")
-                rows += [(pid, url, i, h, t) for i, (h, t) in enumerate(p.found)]
-            yield pd.DataFrame(rows, columns=["page_id", "url", "pos", "href", "inner"])
+                p.close()
+                places: dict[str, int] = {}
+                for box in p.found:
+                    pos = places[box["site"]] = places.get(box["site"], -1) + 1
+                    if box["href"] is not None:
+                        rows.append((pid, url, box["site"], pos, box["href"], "".join(box["text"])))
+            yield pd.DataFrame(rows, columns=["page_id", "url", "site", "pos", "href", "inner"])
 
     raw = pages.select("page_id", "url", "html").mapInPandas(
-        parse, "page_id long, url string, pos int, href string, inner string")
-    return raw.select("page_id", "pos", tx.absolute_url(F.col("href"), F.col("url")).alias("link"),
-                      tx.clean_headline(F.col("inner")).alias("headline"))
+        parse, "page_id long, url string, site string, pos int, href string, inner string")
+    found = raw.select("page_id", "site", "pos", tx.absolute_url(F.col("href"), F.col("url")).alias("link"),
+                       tx.clean_headline(F.col("inner")).alias("headline"))
+    return found.filter(~tx.is_junk(F.col("headline")))

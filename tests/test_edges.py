@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskspark import constants as K
 from riskspark.functions import dates, dist, numeric, text as tx
+from riskspark.sources import readers as rd
 from riskspark.operators import (calendar as cal, correlation as co, joins as jn, normalise as nz, ranking as rk,
                                  rolling as ro, rules as ru, sentiment as se, shocks as sh, textscore as tsx)
 
@@ -282,3 +283,58 @@ def test_score_of_exactly_two_is_no_spike(spark):
     got = {(r["domain"], r["date"]): r["article_spike"] for r in fe.domain_features(df).collect()}
     assert got["above", day(5)] == 1
     assert all(got[str(k), day(len(c) - 1)] == 0 for k, c in enumerate(ties))
+
+
+def test_nested_containers_of_all_sites(spark):
+    html = """<div class="main-content x"><ul><li><a name="top"></a><a href="/one"><b>Shares of the bank</b> rise</a><a href="/two">two</a></li>
+      <li>no link</li><li><div class="eachStory big"><p><a href="http://x.com./three">Oil prices fall again today</a></p></div></li></ul></div>
+      <li><a href="/out">Outside of the content block</a></li><ul class="content"><div><li><a href="/four">Rates are held by the bank</a></li></div></ul>
+      <h2><a href="/five">Gold prices jump in Asia</a></h2><li class="a clearfix"><h3>x<a href="/six">Six firms report profits</a></h3></li>
+      <div class="listing_row"><br><img src="x"><span>text</span><a href="/seven">Seven stocks to look at now</a></div><a href="/eight">none"""
+    pages = spark.createDataFrame([(1, "https://site.com/p", html), (2, "https://site.com/q", None), (3, "https://site.com/r", "")], "page_id long, url string, html string")
+    got = lambda sites: [(r["site"], r["pos"], r["link"], r["headline"]) for r in rd.container_headlines(pages, sites).orderBy("site", "pos").collect()]
+    assert got(K.SITE_CONTAINERS) == [
+        ("EconomicTimes", 0, "https://site.com/one", "Shares of the bankrise"), ("EconomicTimes", 2, "http://x.com/three", "Oil prices fall again today"),
+        ("EconomicTimes", 3, "http://x.com/three", "Oil prices fall again today"), ("Livemint", 0, "https://site.com/seven", "Seven stocks to look at now"),
+        ("Moneycontrol", 0, "https://site.com/five", "Gold prices jump in Asia"), ("Moneycontrol", 1, "https://site.com/six", "Six firms report profits"),
+        ("Moneycontrol", 2, "https://site.com/six", "Six firms report profits")]
+    assert [x[2] for x in got({"ET": K.LISTING_CONTAINERS["EconomicTimes"]})] == ["http://x.com/three", "https://site.com/four"]
+    deep = "<div>" * 20_000 + "<li class='clearfix'><a href='/deep'>A headline far below all</a>"
+    far = spark.createDataFrame([(1, "https://site.com/p", deep)], "page_id long, url string, html string")
+    assert rd.container_headlines(far, K.SITE_CONTAINERS).count() == 1
+
+
+def test_lexicon_of_any_size_and_empty_texts(spark):
+    lexicon = {f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100 % 10]}{'efghijklmn'[i // 1000]}": (i % 7) - 3.0 for i in range(4_000)}
+    words = list(lexicon)
+    rows = [(i, " ".join(words[i * 3:i * 3 + 5]).upper() + "!? 12") for i in range(700)] + [(9_000, None), (9_001, ""), (9_002, "nothing known")]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, t int")
+    got = {r["doc_id"]: r["compound"] for r in tsx.lexicon_score(df, ["doc_id"], "text", lexicon).collect()}
+    for i, text in rows:
+        s = sum(lexicon.get(w, 0.0) for w in (text or "").lower().replace("!?", "").split())
+        assert abs(got[i] - s / (s * s + 15) ** 0.5) < 1e-12
+    z = tsx.lexicon_scorer({"good": 2.0, "bad": -1.5})(pd.Series(["Good, \"bad\" GOOD!", "", None, "x"]))
+    assert z.tolist() == [[4.0, 1.5, 0.5], [0.0, 0.0, 0.5], [0.0, 0.0, 0.5], [0.0, 0.0, 0.5]]
+
+
+def test_order_statistics_equal_a_sorted_list():
+    rng = np.random.default_rng(0)
+    values = np.round(rng.normal(size=400), 1)
+    values[::17] = np.nan
+    seen, want = [], []
+    for v in values:
+        if v == v:
+            seen = sorted([*seen, v])
+        h = (len(seen) - 1) * 0.95
+        want.append(None if len(seen) < 10 else seen[int(h)] + (seen[min(int(h) + 1, len(seen) - 1)] - seen[int(h)]) * (h - int(h)))
+    got = sh._running_quantile(values, 0.95, 10)
+    assert all((a is None and b is None) or abs(a - b) < 1e-12 for a, b in zip(got, want))
+    assert sh._running_quantile([np.nan] * 3, 0.95, 1) == [None] * 3
+
+
+def test_lag_correlation_leaves_out_short_and_constant_pairs(spark):
+    rows = [("a", "b", i, float(i * i % 7), float(i % 5)) for i in range(30)] + [("c", "b", i, 1.0, float(i)) for i in range(30)] + [("d", "b", i, float(i), float(-i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "cause string, effect string, date int, x double, y double")
+    got = co.lagged_correlations(df, ["cause", "effect"], "x", "y", 5, 10).collect()
+    assert {r["cause"] for r in got} == {"a"} and len(got) == 6
+    assert {r["cause"] for r in co.lagged_correlations(df, ["cause", "effect"], "x", "y", 5).collect()} == {"a", "c", "d"}
