@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.llm.columns import U64, _buffers, _powers, _TABLE, mix, small_batches, worker_kept
+from riskspark.llm.columns import U64, _buffers, _powers, _TABLE, give_back, mix, small_batches, worker_kept
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Units of the table, the text they are counted in, and their longest.
@@ -53,13 +53,16 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-@cache
-def id_type(path: str) -> np.dtype:
+def _narrow(top: int) -> np.dtype:
     """Two bytes an id if the vocabulary allows, four otherwise."""
-    top = max(_tokenizer(path).get_vocab(with_added_tokens=True).values())
     return np.dtype("<u2" if top < 1 << 16 else "<u4")
 
 
+@cache
+def id_type(path: str) -> np.dtype:
+    return _narrow(max(_tokenizer(path).get_vocab(with_added_tokens=True).values()))
+
+
 @dataclass
 class Words:
     """Ids of units by the units' hashes, which ascend. ``slots`` leads from a hash's upper
@@ -145,24 +148,28 @@ class Encoder:
     """Encodes texts to ids: ``dtype`` is two bytes wide if the vocabulary allows, four otherwise."""
 
     def __init__(self, path: str, words: Words | None = None):
-        self.tokenizer, self.dtype = _tokenizer(path), id_type(path)
+        self.tokenizer = _tokenizer(path)
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.dtype = _narrow(max(vocab.values()))
         self.words = words or Words.of([], self.dtype)
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        spec = json.loads(self.tokenizer.to_str())
-        level, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.encode() for t in added]
+        level, model = self.tokenizer.pre_tokenizer, self.tokenizer.model
+        level = json.loads(level.__getstate__()) if level else {}
         #: Whether texts may be cut, and pieces given to the model itself.
         self.byte_level = (level.get("type") == "ByteLevel" and not level.get("add_prefix_space") and level.get("use_regex")
-                           and not spec.get("normalizer") and model.get("type") == "BPE" and not model.get("dropout"))
+                           and not self.tokenizer.normalizer and type(model).__name__ == "BPE" and not model.dropout)
         self.spelled = dict(enumerate(_spelled()))
         if self.byte_level:
             back = {ord(c): b for b, c in self.spelled.items()}
-            vocab = self.tokenizer.get_vocab(with_added_tokens=False)
-            size = max(vocab.values()) + 1
-            spelt: list[bytes] = [b""] * size
+            spelt: list[bytes] = [b""] * (max(vocab.values()) + 1)
             for token, i in vocab.items():
-                spelt[i] = bytes(back[ord(c)] for c in token)
+                if token not in added:
+                    spelt[i] = bytes(back[ord(c)] for c in token)
             self.token_starts = np.cumsum([0, *map(len, spelt)])
             self.token_bytes = np.frombuffer(b"".join(spelt), np.uint8)
+        del vocab
+        give_back()
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         out = []
@@ -255,7 +262,7 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", words: int =
     some = docs.select(text).where(F.pmod(F.xxhash64(F.col(text), F.lit(13)), F.lit(1 << 30)) < share)
 
     def count(batches):
-        for batch in small_batches(batches, text, 8 << 20):
+        for batch in small_batches(batches, text):
             offs, raw = _buffers(batch.column(text))
             if not len(raw):
                 continue
