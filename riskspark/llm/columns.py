@@ -34,8 +34,9 @@ def _trim():
 
 
 def give_back() -> None:
-    """Return memory that a worker has freed: it is reused by later stages, and what its
-    allocators keep counts against the executor."""
+    """Return memory that a worker has freed, and the tables that a task can make anew:
+    workers stay for later stages, and what they hold counts against the executor."""
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
     _trim()(0)
 

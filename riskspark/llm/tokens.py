@@ -31,7 +31,7 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Units of the table, the text they are counted in, and their longest.
 TABLE_WORDS, SAMPLE_BYTES, LONGEST = 400_000, 48 << 20, 64
 #: Bits of the table that leads to a unit's place.
-SLOT_BITS = 21
+SLOT_BITS = 20
 _SPACES = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)])
 #: Letters and marks whose classes every Unicode version agrees on.
 _PLAIN = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ɏ]+|[!-&(-/:-@\\[-`{-~]+")
@@ -72,6 +72,13 @@ class Words:
     starts: np.ndarray
     ids: np.ndarray
 
+    def __getstate__(self):
+        return {"keys": self.keys, "starts": self.starts, "ids": self.ids}  # slots are made where they are used
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.__post_init__()
+
     def __post_init__(self):
         self.slots = np.zeros(1 << SLOT_BITS, np.int32)
         self.slots[(self.keys >> U64(64 - SLOT_BITS)).astype(np.int64)] = np.arange(len(self.keys))
@@ -92,7 +99,7 @@ class Words:
         keys = np.array([k for k, _ in rows], np.int64).view(U64)
         order = np.argsort(keys)
         ids = [np.frombuffer(rows[i][1], dtype) for i in order]
-        return cls(keys[order], np.cumsum([0, *map(len, ids)]).astype(np.int64), np.concatenate([np.zeros(0, dtype), *ids]))
+        return cls(keys[order], np.cumsum([0, *map(len, ids)]).astype(np.int32), np.concatenate([np.zeros(0, dtype), *ids]))
 
 
 def units(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
