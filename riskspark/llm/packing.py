@@ -56,7 +56,7 @@ def with_global_start(stored: DataFrame) -> DataFrame:
 def cut(placed: DataFrame, path: str, window: int = WINDOW, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """Boundary records: one row for each piece of a document inside one window."""
     names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
-    kind = id_type(path)  # known here, so that these tasks need no vocabulary
+    kind = id_type(placed.sparkSession, path)  # known here, so that these tasks need no vocabulary
     width = kind.itemsize
 
     def run(batches):

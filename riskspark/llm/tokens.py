@@ -23,7 +23,8 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskspark.llm.columns import U64, _buffers, _powers, _TABLE, give_back, mix, small_batches, worker_kept
 
@@ -58,9 +59,13 @@ def _narrow(top: int) -> np.dtype:
     return np.dtype("<u2" if top < 1 << 16 else "<u4")
 
 
-@cache
-def id_type(path: str) -> np.dtype:
-    return _narrow(max(_tokenizer(path).get_vocab(with_added_tokens=True).values()))
+def id_type(spark: SparkSession, path: str) -> np.dtype:
+    """Asked of a task, so that the driver holds no vocabulary."""
+    def run(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([encoder(path).dtype.str])], names=["kind"])
+
+    return np.dtype(spark.range(1, numPartitions=1).mapInArrow(run, "kind string").collect()[0]["kind"])
 
 
 @dataclass
@@ -95,11 +100,13 @@ class Words:
         return known, at
 
     @classmethod
-    def of(cls, rows: list[tuple[int, bytes]], dtype) -> Words:
-        keys = np.array([k for k, _ in rows], np.int64).view(U64)
+    def of(cls, keys: np.ndarray, n: np.ndarray, ids: np.ndarray) -> Words:
+        """From units in any order: hashes, numbers of ids, and the ids in a row."""
         order = np.argsort(keys)
-        ids = [np.frombuffer(rows[i][1], dtype) for i in order]
-        return cls(keys[order], np.cumsum([0, *map(len, ids)]).astype(np.int32), np.concatenate([np.zeros(0, dtype), *ids]))
+        begin, n = (np.cumsum(n) - n)[order], n[order]
+        ends = np.cumsum(n)
+        at = np.repeat(begin - (ends - n), n) + np.arange(n.sum())
+        return cls(keys[order], np.append(0, ends).astype(np.int32), ids[at])
 
 
 def units(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -158,7 +165,7 @@ class Encoder:
         self.tokenizer = _tokenizer(path)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = _narrow(max(vocab.values()))
-        self.words = words or Words.of([], self.dtype)
+        self.words = words or Words(np.zeros(0, U64), np.zeros(1, np.int32), np.zeros(0, self.dtype))
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = [t.encode() for t in added]
         level, model = self.tokenizer.pre_tokenizer, self.tokenizer.model
@@ -290,8 +297,14 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", words: int =
     counted = some.mapInArrow(count, "hash long, unit binary, n long").groupBy("hash").agg(F.min("unit").alias("unit"), F.sum("n").alias("n"))
     best = counted.where("n > 1").orderBy(F.desc("n"), "hash").limit(words)
     shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = best.repartition(shuffled, "hash").mapInArrow(encode, "hash long, ids binary").collect()
-    return spark.sparkContext.broadcast(Words.of([(r["hash"], bytes(r["ids"])) for r in rows], id_type(path)))
+    # The collected table has ``words`` rows at most, and stays in Arrow's form.
+    table = best.repartition(shuffled, "hash").mapInArrow(encode, "hash long, ids binary").toArrow().combine_chunks()
+    kind = id_type(spark, path)
+    ids = table["ids"].cast(pa.large_binary()).combine_chunks()
+    n = np.asarray(pa.compute.binary_length(ids)) // kind.itemsize
+    flat = np.frombuffer(b"".join(ids.to_pylist()), kind)
+    found = Words.of(np.ascontiguousarray(table["hash"].to_numpy()).view(U64), n.astype(np.int64), flat)
+    return spark.sparkContext.broadcast(found)
 
 
 def encoder(path: str, words=None) -> Encoder:
