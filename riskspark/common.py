@@ -35,11 +35,16 @@ def _local_root(spark: SparkSession) -> str:
     return _local_folder()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A path under the shared folder named by ``spark.checkpoint.dir``.
     Only a local session may fall back to a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or _local_root(spark)
-    return f"{root.rstrip('/')}/riskspark/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/riskspark/{label}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path under the shared folder."""
+    return shared_path(spark, f"{label}-{uuid.uuid4().hex}")
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:

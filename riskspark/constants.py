@@ -12,6 +12,7 @@ PORTFOLIOS = {
     "conservative": ["TLT", "IEF", "VPU", "KO", "JNJ", "PG", "XLP"],
 }
 MARKET_TICKER = "SPY"
+SHOCK_PORTFOLIO = "tech"
 GOLD_TICKER = "GLD"
 SAFE_HAVEN = ["GLD", "GC=F", "TLT", "IEF", "BND", "AGG", "VPU"]
 

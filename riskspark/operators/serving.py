@@ -40,3 +40,22 @@ def stock_table(panel: DataFrame, bridge: DataFrame, shocks: DataFrame) -> DataF
 def tail(df: DataFrame, rows: int) -> DataFrame:
     """Last rows by date; a top-k, not a full sort."""
     return df.orderBy(F.desc("date")).limit(rows)
+
+
+def chart_window(calendar: DataFrame, panel: DataFrame, domain_days: DataFrame, bridge: DataFrame, rows: int = 60,
+                 lines: int = 3) -> DataFrame:
+    """One array per portfolio with its last ``rows`` trading days: prices of its first
+    ``lines`` members that trade, and every domain's tone. ``bridge`` holds (portfolio, ticker,
+    position). Days without a price or tone keep their place."""
+    days = tail(calendar.select("date"), rows)
+    traded = bridge.join(panel.filter("price IS NOT NULL").select("ticker").distinct(), "ticker", "left_semi")
+    first = traded.withColumn("_k", F.row_number().over(W.partitionBy("portfolio").orderBy("position"))).filter(
+        F.col("_k") <= lines).select("portfolio", "ticker")
+    recent = panel.join(days, "date", "left_semi").select("ticker", "date", r("price", 2).alias("price"))
+    entries = lambda *c: F.map_from_entries(F.sort_array(F.collect_list(F.struct(*c))))
+    prices = first.join(recent, "ticker").groupBy("portfolio", "date").agg(entries("ticker", "price").alias("prices"))
+    tone = domain_days.join(days, "date", "left_semi").select("date", "domain", r("sentiment_score", 4).alias("tone"))
+    tone = tone.groupBy("date").agg(entries("domain", "tone").alias("tone"))
+    by_date = lambda a, b: F.when(a["date"] < b["date"], -1).when(a["date"] > b["date"], 1).otherwise(0)
+    return prices.join(tone, "date", "left").groupBy("portfolio").agg(
+        F.array_sort(F.collect_list(F.struct("date", "prices", "tone")), by_date).alias("market_chart"))

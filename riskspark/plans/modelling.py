@@ -262,14 +262,18 @@ def stationary_pairs(s, d):
     return fx.cause_effect_pairs(s).join(cause, "cause").join(effect, ["effect", "date"]).join(control, "date", "left")
 
 
-@query("m4_granger")
-def m4_granger(s, d):
+def causality(s, d):
     rows = materialise(stationary_pairs(s, d), "pairs")
     plain = lg.granger(rows, ["cause", "effect"], "y", "x")
     given = lg.granger(rows.filter("cause <> 'financial'"), ["cause", "effect"], "y", "x", "z")
     return plain.unionByName(given)
 
 
+@query("m4_granger")
+def m4_granger(s, d):
+    return causality(s, d)
+
+
 @query("m4_granger_lag1", f"""
     WITH t AS (SELECT cause, effect, y, lag(y) OVER w AS y1, lag(x) OVER w AS x1 FROM c_pairts
                WINDOW w AS (PARTITION BY cause, effect ORDER BY date)),

@@ -1,17 +1,20 @@
 """Signals, sensitivities and the per-portfolio serving record."""
 
+import hashlib
+
 from pyspark.sql import Window as W, functions as F
 
 from riskspark import constants as K, fixtures as fx
-from riskspark.common import materialise, r, rounded
-from riskspark.models import profiles as pr, recovery as rc, shock as sk
+from riskspark.common import dimension, materialise, r, rounded, shared_path
+from riskspark.models import profiles as pr, recovery as rc, scoring as sc, training as tr
+from riskspark.models.store import Store
 from riskspark.operators import rules as ru, serving as sv, shocks as sh
 from riskspark.plans import inputs as x
 from riskspark.plans.aggregates import R
 from riskspark.plans.ordering import domain_ranks
 from riskspark.plans.registry import query
 from riskspark.plans.shared_sql import CTES
-from riskspark.plans.windows import feats
+from riskspark.plans.windows import dom_feats, feats
 
 # Signals need a probability and a predicted volatility per day. Here they are the
 # share of shock days in the last 20 rows times 5, and volatility over 20.
@@ -117,48 +120,97 @@ def expansion_suggestions(s, d):
                     ru.expansion(F.col("safe_haven_weight"), F.col("intra_portfolio_correlation")).alias("suggestions"))
 
 
-@query("serving_view")
-def serving_view(s, d):
-    """One record per portfolio: shock, recovery, risk, sensitivity, category, action,
-    stock table and chart window. Tables are built for all portfolios at once."""
-    from riskspark.models import frames as fr, ridge as rg
-    from riskspark.plans.modelling import PORTFOLIOS, day_frame, m3_frame, m5_model, portfolio_feats
-    frame = day_frame(s, d)
-    names = fr.shock_features("tech")
-    rows = materialise(sk.training_rows(frame, names, "shock_tech"), "m1")
-    model = sk.classifier().fit(sk.balanced(rows))
-    last = sk.score(model, rows).select("date", F.lit(1).alias("_k"), "p")
-    shock = sv.latest_value(last, "_k", "date", "p").select(
-        F.col("p").alias("shock_probability"), F.lit(0.5).alias("threshold"))
-    risk_f = fr.risk_features()
-    m3 = rg.fit(m3_frame(s, d), "portfolio", risk_f, "target", [1.0])
-    now = fr.with_target(frame, portfolio_feats(s, d), "vol5")
-    point = rg.predict(now, materialise(m3, "m3"), "portfolio", risk_f).filter("prediction IS NOT NULL")
-    point = sv.latest_value(point, "portfolio", "date", "prediction")
-    band = rc.empirical_band(sh.recovery_days(portfolio_feats(s, d)), "portfolio")
-    dom = x.domain_days(s, d)
-    coef = rg.domain_coefficients(m5_model(s, d), "portfolio")
-    long = coef.select("portfolio", F.inline(F.array(*[
-        F.struct(F.lit(g).alias("domain"), F.col(f"m5_coeff_{g}").alias("r")) for g in K.DOMAINS])))
-    w = W.partitionBy("portfolio").orderBy(F.desc(F.abs("r")), "domain")
-    sens = ru.sensitivity(long.withColumn("rank", F.row_number().over(w)),
-                          sv.recent_mean(dom, "domain", "sentiment_score", 7))
-    prof = _profile(s, d).select("portfolio", "mean_shock_frequency", "safe_haven_weight",
-                                 F.col("intra_portfolio_correlation").alias("intra"), "sector_concentration_hhi")
-    stocks = sv.stock_table(x.returns(s, d), fx.portfolio_map(s), portfolio_feats(s, d)).groupBy("portfolio").agg(
+# --- scored by stored models ------------------------------------------------------
+
+def model_store(s, d):
+    """The store named by ``spark.riskspark.models``; if unset, one on shared storage for
+    this application and these tables."""
+    own = f"models/{s.sparkContext.applicationId}/{hashlib.md5(d.encode()).hexdigest()}"
+    return Store(s, s.conf.get("spark.riskspark.models", None) or shared_path(s, own))
+
+
+def train(s, d, store):
+    from riskspark.plans.joins import _CTX, shock_events
+    from riskspark.plans.modelling import PORTFOLIOS, causality, day_frame, portfolio_feats
+    prof = _profile(s, d).select("portfolio", "mean_shock_frequency", "intra_portfolio_correlation",
+                                 "sector_concentration_hhi", "safe_haven_weight")
+    return tr.train(store, tr.Inputs(
+        days=day_frame(s, d), portfolio_feats=portfolio_feats(s, d), events=materialise(shock_events(s, d), "events"),
+        profile=prof, causes=causality(s, d).groupBy("cause", "effect").agg(
+            F.min_by("lag", "p_value").alias("lag"), F.min("p_value").alias("p_value")),
+        shock_portfolio=K.SHOCK_PORTFOLIO, order=PORTFOLIOS, penalties=K.RIDGE_ALPHAS, context=_CTX))
+
+
+def trained(s, d):
+    """The newest version of the store; a first one is trained where there is none."""
+    store = model_store(s, d)
+    return store.latest() or train(s, d, store)
+
+
+def scored_days(s, d, version, portfolio=None):
+    from riskspark.operators import features as fe, rolling as ro
+    from riskspark.plans.modelling import PORTFOLIOS, day_frame, portfolio_feats
+    f, dom = portfolio_feats(s, d), x.domain_days(s, d)
+    context = fe.shock_context(f.select("portfolio", "date", "vol5", "pre_shock_baseline"), dom_feats(s, d),
+                               ro.regime_flag(x.panel(s, d), K.MARKET_TICKER), K.DOMAINS)
+    recent = sv.recent_mean(dom, "domain", "sentiment_score", 7)
+    return sc.signal_days(version, day_frame(s, d), f, context, dom, recent, PORTFOLIOS, K.DOMAINS, K.SHOCK_PORTFOLIO,
+                          portfolio)
+
+
+@query("signal_model_days")
+def signal_model_days(s, d):
+    """Shock, risk and action signals of every portfolio-day, on the models' output."""
+    return scored_days(s, d, trained(s, d))
+
+
+def serving_record(s, d, version, portfolio=None):
+    """One record per portfolio (or of the named one) from a stored version: each model's
+    latest scorable day, sensitivities, category, action, stock table and chart window."""
+    from riskspark.plans.modelling import portfolio_feats
+    dom, f = x.domain_days(s, d), portfolio_feats(s, d)
+    days = materialise(scored_days(s, d, version, portfolio), "scored_days")
+    shock = sv.latest_value(days.filter("p IS NOT NULL"), "portfolio", "date", "p", "threshold").withColumnRenamed(
+        "date", "shock_date")
+    risk = sv.latest_value(days.filter("predicted_vol IS NOT NULL"), "portfolio", "date", "predicted_vol", "p25", "p75",
+                           "risk_label")
+    recovery = sv.latest_value(days, "portfolio", "date", "p25_days", "p50_days", "p75_days", "recovery").drop("date")
+    sens = sc.sensitivities(version, sv.recent_mean(dom, "domain", "sentiment_score", 7), K.DOMAINS, portfolio)
+    members = dimension(s, [(p, t, i) for p, ts in K.PORTFOLIOS.items() for i, t in enumerate(ts)],
+                        "portfolio string, ticker string, position int")
+    members = members if portfolio is None else members.filter(F.col("portfolio") == portfolio)
+    stocks = sv.stock_table(x.returns(s, d), members.select("portfolio", "ticker"), f).groupBy("portfolio").agg(
         F.sort_array(F.collect_list(F.struct("ticker", "last_price", "return_5d", "vol5", "shock_today"))).alias("stock_table"))
-    out = (point.join(band, "portfolio").join(sens, "portfolio").join(prof, "portfolio").join(stocks, "portfolio")
-           .withColumns({"shock_probability": shock.select("shock_probability").scalar(),
-                         "risk_label": ru.risk_label(F.col("prediction")),
-                         "recovery": ru.recovery_text(F.col("p25"), F.col("p50"), F.col("p75"))}))
-    out = ru.action(out, "shock_probability", "risk_label", "dominant_domain", "recent_sentiment", "recovery")
+    chart = sv.chart_window(x.trading_days(s, d), x.panel(s, d), dom, members)
+    category = version.table("clusters", portfolio=portfolio).select(
+        "portfolio", "kmeans_label", "mean_shock_frequency", "safe_haven_weight", "sector_concentration_hhi",
+        F.col("intra_portfolio_correlation").alias("intra"))
+    out = members.select("portfolio").distinct()
+    for part in (shock, risk, recovery, sens, sc.confirmed_causes(version, K.DOMAINS, portfolio), category, stocks, chart):
+        out = out.join(part, "portfolio", "left")
+    out = ru.action(out, "p", "risk_label", "dominant_domain", "recent_sentiment", "recovery")
+    limit, label = F.coalesce("threshold", F.lit(sc.NO_THRESHOLD)), F.coalesce("risk_label", F.lit("NORMAL"))
     return out.select(
-        "portfolio", "date",
-        F.struct("shock_probability", ru.shock_signal(F.col("shock_probability"), F.lit(0.5)).alias("signal"),
-                 (F.col("shock_probability") * 20).alias("sri_proxy")).alias("shock"),
-        F.struct("p25", "p50", "p75", "recovery").alias("recovery"),
-        F.struct(F.col("prediction").alias("predicted_vol"), "risk_label").alias("risk"),
-        F.struct("dominant_domain", "dominant_coeff", "recent_sentiment", "direction").alias("sensitivity"),
-        F.struct("mean_shock_frequency", "intra", "safe_haven_weight", "sector_concentration_hhi",
-                 ru.expansion(F.col("safe_haven_weight"), F.col("intra")).alias("suggestions")).alias("category"),
-        F.struct("action", "confidence", "reasoning").alias("signal"), "stock_table")
+        "portfolio", "date", label.alias("status"), "action", "confidence", "reasoning",
+        F.round(F.coalesce("p", F.lit(0.0)) * 20, 2).alias("sri_value"),
+        F.coalesce("kmeans_label", F.lit("Unknown")).alias("category"),
+        F.struct(F.col("shock_date").alias("date"), F.round("p", 4).alias("probability"),
+                 F.when(F.col("p").isNotNull(), ru.shock_signal(F.col("p"), limit)).alias("signal"),
+                 F.round(limit, 3).alias("optimal_threshold")).alias("shock"),
+        F.struct(F.round("p25_days", 1).alias("p25_days"), F.round("p50_days", 1).alias("p50_days"),
+                 F.round("p75_days", 1).alias("p75_days"), F.col("recovery").alias("band_label")).alias("recovery"),
+        F.struct(*[F.round(c, 6).alias(a) for c, a in (("predicted_vol", "predicted_vol"), ("p25", "p25_vol"),
+                                                       ("p75", "p75_vol"))], "risk_label").alias("risk_score"),
+        F.struct("dominant_domain", "dominant_coeff", "ranked_domains", F.col("recent_by_domain").alias("recent_sentiment"),
+                 "direction", F.initcap("dominant_domain").alias("news_to_watch"), "granger_note").alias("domain_sensitivity"),
+        F.struct(F.col("kmeans_label").alias("label"), F.round(F.col("mean_shock_frequency") * 100, 1).alias("shock_frequency_pct"),
+                 F.round("intra", 3).alias("intra_correlation"), F.round(F.col("safe_haven_weight") * 100, 1).alias("safe_haven_pct"),
+                 F.round("sector_concentration_hhi", 3).alias("concentration_hhi"),
+                 ru.expansion(F.col("safe_haven_weight"), F.col("intra")).alias("expansion")).alias("portfolio_category"),
+        "stock_table", "market_chart")
+
+
+@query("serving_view")
+def serving_view(s, d):
+    """The records of all portfolios."""
+    return serving_record(s, d, trained(s, d))
