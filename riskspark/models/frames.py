@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from riskspark import constants as K
@@ -15,8 +17,8 @@ PORTFOLIO_COLS = ["ret", "vol5", "vol10", "vol20", "rolling_mean_return_5d", "vo
                   "intra_corr", "shock"]
 
 
-def _pivot(df: DataFrame, on: str, values: list[str], measures: list[str]) -> DataFrame:
-    wide = df.groupBy("date").pivot(on, values).agg(*[F.first(m, ignorenulls=True).alias(m) for m in measures])
+def _pivot(df: DataFrame, on: str, values: list[str], measures: list[str], by: tuple[str, ...] = ("date",)) -> DataFrame:
+    wide = df.groupBy(*by).pivot(on, values).agg(*[F.first(m, ignorenulls=True).alias(m) for m in measures])
     return wide.withColumnsRenamed({f"{v}_{m}": f"{m}_{v}" for v in values for m in measures})
 
 
@@ -29,6 +31,16 @@ def day_frame(domain_feats: DataFrame, portfolio_feats: DataFrame, regime: DataF
     return left.join(right, "date").join(regime, "date", "left")
 
 
+def day_frame_at(domain_feats: DataFrame, portfolio_feats: DataFrame, regime: DataFrame, portfolios: list[str],
+                 until: dict[int, dt.date]) -> DataFrame:
+    """One row per fold and trading day, z-scores fitted on the days up to the fold's
+    cutoff: what comes later changes nothing in the rows before it."""
+    z = fe.standardise_at(domain_feats, ["domain"], Z_SOURCES, until)
+    left = fe.interactions(_pivot(z, "domain", K.DOMAINS, DOMAIN_COLS + [f"z_{c}" for c in Z_SOURCES], ("fold", "date")))
+    right = _pivot(portfolio_feats, "portfolio", portfolios, PORTFOLIO_COLS)
+    return left.join(right, "date").join(regime, "date", "left")
+
+
 def shock_features(target: str) -> list[str]:
     d, p = K.DOMAINS, list(K.PORTFOLIOS)
     per_domain = ["z_sentiment_score", "z_avg_prob_neg", "z_lag1_sentiment_score", "z_lag2_sentiment_score",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -9,8 +11,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from riskspark.common import materialise
 from riskspark.operators import calendar as cal, ranking as rk, rolling as ro
 
+FrameAt = Callable[[dict[int, dt.date]], DataFrame]
+
 
 def training_rows(frame: DataFrame, features: list[str], target: str) -> DataFrame:
     """Complete rows with tomorrow's shock as the label."""
@@ -40,9 +45,22 @@ def score(model, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("p", F.element_at(vector_to_array("probability"), 2))
 
 
-def walk_forward(rows: DataFrame, folds: int = 3, trees: int = 200) -> DataFrame:
-    """Out-of-fold shock probabilities; every fold trains on its own past only."""
+def at_cutoffs(split: DataFrame, features: list[str], frame_at: FrameAt) -> DataFrame:
+    """The folds' rows with features as they were known at the end of each fold's training
+    days; ``frame_at`` maps {fold: last training day} to a frame keyed by (fold, date)."""
+    ends = split.filter("is_train").groupBy("fold").agg(F.max("date").alias("until")).collect()
+    frame = frame_at({r["fold"]: r["until"] for r in ends}).select("fold", "date", *features)
+    rows = split.select("fold", "date", "label", "is_train").join(frame, ["fold", "date"]).dropna(subset=features)
+    return VectorAssembler(inputCols=features, outputCol="features").transform(rows).drop(*features)
+
+
+def walk_forward(rows: DataFrame, folds: int = 3, trees: int = 200, features: list[str] | None = None,
+                 frame_at: FrameAt | None = None) -> DataFrame:
+    """Out-of-fold shock probabilities; every fold trains on its own past only and, with
+    ``frame_at``, on features fitted on that past."""
     split = cal.walk_forward(rows, ["series"], folds)
+    if frame_at is not None and not split.isEmpty():
+        split = materialise(at_cutoffs(split, features, frame_at), "fold_rows")
     parts = []
     for k in range(folds):
         fold = split.filter(F.col("fold") == k)

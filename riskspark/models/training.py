@@ -32,6 +32,7 @@ class Inputs:
     order: list[str]            # the portfolios
     penalties: list[float]      # for the domain sensitivities
     context: list[str]          # further columns of the events
+    days_at: sk.FrameAt | None = None  # the day frame as known at each fold's cutoff
 
 
 def train(store: Store, t: Inputs) -> Version:
@@ -56,7 +57,7 @@ def shock_model(draft, t: Inputs) -> None:
     rows = materialise(sk.training_rows(t.days, features, f"shock_{t.shock_portfolio}"), "train_shock")
     if rows.select("label").distinct().count() < 2:
         return
-    report = sk.evaluate(materialise(sk.walk_forward(rows), "train_folds")).first()
+    report = sk.evaluate(materialise(sk.walk_forward(rows, features=features, frame_at=t.days_at), "train_folds")).first()
     draft.model("shock_model", sk.classifier().fit(sk.balanced(rows)))
     draft.values("shock_values", threshold=0.5 if report["threshold"] is None else report["threshold"],
                  f1=report["f1_calibrated"], auc_roc=report["auc_roc"], folds=report["folds"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from riskspark.functions.numeric import flag
@@ -35,6 +37,22 @@ def standardise(df: DataFrame, keys: list[str], cols: list[str], until: str | No
     return out.drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
 
 
+def standardise_at(df: DataFrame, keys: list[str], cols: list[str], until: dict[int, dt.date]) -> DataFrame:
+    """Every row once per fold, with z_* columns from that fold's days up to its cutoff
+    only. One pass of partial sums over the rows serves all folds; a column that was
+    constant until then has z = 0, an unknown value stays unknown."""
+    def folds(keep):
+        each = [F.when(keep(F.lit(day).cast("date")), F.lit(k)) for k, day in sorted(until.items())]
+        return F.explode(F.array_compact(F.array(*each)))
+
+    m = df.withColumn("fold", folds(lambda day: F.col("date") <= day)).groupBy("fold", *keys).agg(
+        *[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"_s_{c}") for c in cols])
+    out = df.withColumn("fold", folds(lambda day: F.lit(True))).join(m, ["fold", *keys], "left")
+    z = lambda c: F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).when(
+        F.col(c).isNotNull(), 0.0)
+    return out.withColumns({f"z_{c}": z(c) for c in cols}).drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
+
+
 def portfolio_features(portfolio_days: DataFrame) -> DataFrame:
     """Rolling return and volatility features per portfolio."""
     k = ("portfolio",)

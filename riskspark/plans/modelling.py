@@ -31,6 +31,12 @@ def day_frame(s, d, until=None):
         dom_feats(s, d), portfolio_feats(s, d), ro.regime_flag(x.panel(s, d), K.MARKET_TICKER), PORTFOLIOS, until))
 
 
+def day_frame_at(s, d):
+    """{fold: cutoff} -> the day frame as known at each cutoff."""
+    dom, regime = dom_feats(s, d), ro.regime_flag(x.panel(s, d), K.MARKET_TICKER)
+    return lambda until: fr.day_frame_at(dom, portfolio_feats(s, d), regime, PORTFOLIOS, until)
+
+
 CTES["c_pffull"] = "SELECT s.*, i.intra_corr FROM c_shock s LEFT JOIN c_intra i USING (portfolio, date)"
 
 
@@ -81,8 +87,8 @@ def _m1_rows(s, d):
 
 @query("m1_shock_classifier")
 def m1_shock_classifier(s, d):
-    rows, _ = _m1_rows(s, d)
-    return sk.evaluate(materialise(sk.walk_forward(rows), "m1_scores"))
+    rows, f = _m1_rows(s, d)
+    return sk.evaluate(materialise(sk.walk_forward(rows, features=f, frame_at=day_frame_at(s, d)), "m1_scores"))
 
 
 @query("m1_importance")

@@ -131,14 +131,15 @@ def model_store(s, d):
 
 def train(s, d, store):
     from riskspark.plans.joins import _CTX, shock_events
-    from riskspark.plans.modelling import PORTFOLIOS, causality, day_frame, portfolio_feats
+    from riskspark.plans.modelling import PORTFOLIOS, causality, day_frame, day_frame_at, portfolio_feats
     prof = _profile(s, d).select("portfolio", "mean_shock_frequency", "intra_portfolio_correlation",
                                  "sector_concentration_hhi", "safe_haven_weight")
     return tr.train(store, tr.Inputs(
         days=day_frame(s, d), portfolio_feats=portfolio_feats(s, d), events=materialise(shock_events(s, d), "events"),
         profile=prof, causes=causality(s, d).groupBy("cause", "effect").agg(
             F.min_by("lag", "p_value").alias("lag"), F.min("p_value").alias("p_value")),
-        shock_portfolio=K.SHOCK_PORTFOLIO, order=PORTFOLIOS, penalties=K.RIDGE_ALPHAS, context=_CTX))
+        shock_portfolio=K.SHOCK_PORTFOLIO, order=PORTFOLIOS, penalties=K.RIDGE_ALPHAS, context=_CTX,
+        days_at=day_frame_at(s, d)))
 
 
 def trained(s, d):
