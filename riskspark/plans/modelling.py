@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from riskspark import constants as K, fixtures as fx
 from riskspark.common import dimension, materialise, r, rounded
 from riskspark.models import (frames as fr, gram as gm, lags as lg, profiles as pr, quantile as qr, recovery as rc,
-                              ridge as rg, shock as sk, tests as ts)
+                              ridge as rg, shock as sk, statespace as ss, tests as ts)
 from riskspark.operators import (calendar as cal, correlation as co, features as fe, ranking as rk, rolling as ro,
                                  scores as sc, sentiment as se, shocks as sh, summary as sm, textscore as tsx)
 from riskspark.plans import inputs as x
@@ -324,6 +324,12 @@ def arx_forecast(s, d):
     return model.select("ticker", "beta", "p_value", "verdict", "n_train").join(err, "ticker")
 
 
+@query("armax_forecast")
+def armax_forecast(s, d):
+    """The same regression with moving-average errors, by exact likelihood."""
+    return ss.report(materialise(ss.armax(_arx_rows(s, d), "ticker", "returns", "sentiment"), "armax"), "ticker")
+
+
 # --- M6 ---------------------------------------------------------------------------
 
 _PROFILE = [f"m5_coeff_{g}" for g in K.DOMAINS] + ["mean_shock_frequency", "intra_portfolio_correlation",
