@@ -66,13 +66,15 @@ class Tree:
             todo += [(child, rows[of == c]) for c, child in enumerate(self.children[node])]
         return out
 
-    def visit(self, q: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves for a query, best bin first."""
-        queue, out, tick = [(0.0, 0, 0 if self.children else -1)], [], 0
-        while queue and len(out) < most:
+    def visit(self, q: np.ndarray, count: int, sizes: dict[int, int] | None = None, least: int = 0) -> list[int]:
+        """The first ``count`` leaves for a query, best bin first, and as many more as it
+        takes to hold ``least`` rows by the leaves' ``sizes``."""
+        queue, out, tick, rows = [(0.0, 0, 0 if self.children else -1)], [], 0, 0
+        while queue and (len(out) < count or rows < least):
             _, _, node = heapq.heappop(queue)
             if node < 0:
                 out.append(-1 - node)
+                rows += sizes.get(-1 - node, 0) if sizes else 0
                 continue
             for near, child in zip((self.centres[node] @ q).tolist(), self.children[node]):
                 tick += 1
@@ -168,7 +170,7 @@ def search(df: DataFrame, every: int = 20, k: int = 20, target: float = TARGET,
     def leaves_of(batches):
         for batch in batches:
             if batch.num_rows:
-                found = [tree.visit(q, visits) for q in vectors.matrix(batch.column("vector"))]
+                found = [tree.visit(q, visits, sizes, k + 1) for q in vectors.matrix(batch.column("vector"))]
                 take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
                 yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(take), pa.array(np.concatenate(found), pa.int32()), batch.column("vector").take(take)],
                                                  names=["vec_id", "leaf", "vector"])

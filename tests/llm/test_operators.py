@@ -135,6 +135,18 @@ def test_neighbours_recall(spark):
     assert neighbours.search(df.limit(0)).count() == 0 and neighbours.search(df.where("vec_id < 3")).count() == 2
 
 
+def test_neighbours_go_on_where_leaves_are_small(spark):
+    m, _ = vectors(spark)
+    tree = neighbours.Tree.fit(m)
+    every = tree.visit(m[0], tree.leaves)
+    sizes = {leaf: 3 for leaf in every}
+    assert len(set(every)) == tree.leaves
+    assert tree.visit(m[0], 2) == every[:2] == tree.visit(m[0], 2, sizes, 6)
+    more = min(5, tree.leaves)
+    assert tree.visit(m[0], 1, sizes, 3 * more - 1) == every[:more]
+    assert tree.visit(m[0], 1, sizes, 10**6) == every          # fewer rows than asked for: all leaves
+
+
 def test_jaccard_components(spark, docs, none):
     rng = np.random.default_rng(3)
     base = [[f"w{x}" for x in rng.integers(0, 500, 80)] for _ in range(6)]
