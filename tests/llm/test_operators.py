@@ -98,6 +98,15 @@ def test_language(spark, none):
     assert sum(model.predict(t)[0] == lang for i, t, lang in rows if i < 900) > 235
     assert model.predict(None) == ("und", 0.0) == model.predict("½ 3!")
     assert language.known_language(df, model).count() == 240
+    assert language.known_language(df, model, margin=1.0).count() == 0
+    once = spark.createDataFrame([(1, "house", "en"), (1, "house", "en"), (None, "das haus " * 40_000, None), (3, "", "en")], df.schema)
+    kept = language.known_language(once.withColumn("score", F.lit(7)), model).collect()
+    assert [(r["doc_id"], r["score"]) for r in kept] == [(1, 7), (1, 7), (None, 7)]
+    unlabelled = language.fit(df.withColumn("lang", F.lit(None).cast("string")))
+    assert unlabelled.languages == [] and language.known_language(df, unlabelled).count() == 240
+    single = language.fit(df.where("lang = 'en'"))
+    assert language.known_language(df, single).count() == 240
+    assert language.known_language(none.withColumn("lang", F.lit("x")), model).count() == 0
     assert language.predict(none, language.fit(none.withColumn("lang", F.lit("x")))).count() == 0
 
 
