@@ -4,7 +4,7 @@ near duplicates by an n-gram Jaccard join, packing.
 Each stage takes all rows that the one before kept and, but for the last, returns the
 columns of ``documents``. Stages learn from their own input (and the labels). NULL,
 empty and repeated rows are treated as the operators' docstrings say: a text without
-a letter leaves at the first stage.
+a letter or a language that shows leaves at the first stage.
 """
 
 from __future__ import annotations
