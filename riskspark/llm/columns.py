@@ -137,11 +137,11 @@ def _powers(n: int, inverse: bool = False) -> np.ndarray:
     have = _POWERS.get(inverse)
     if have is not None and len(have) >= n:
         return have[:n]
-    size = max(n, 2 * BLOCK_BYTES)
+    size = 1 << max(n - 1, (1 << 18) - 1).bit_length()  # as much as the blocks asked for so far need
     step = np.full(size, _R_INV if inverse else _R, U64)
     step[0] = 1
     with np.errstate(over="ignore"):
         have = np.cumprod(step)
-    if size == 2 * BLOCK_BYTES:  # a longer text's table isn't kept
+    if size <= 2 * BLOCK_BYTES:  # a longer text's table isn't kept
         _POWERS[inverse] = have
     return have[:n]

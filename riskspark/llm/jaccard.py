@@ -36,6 +36,8 @@ ORDERS = ((0x9E3779B97F4A7C15, 1), (0xC2B2AE3D27D4EB4F, 8), (0x165667B19E3779F9,
 CELL_BITS = (16, 26)
 #: At most so many shared halves of digests are resolved (no sound digest has as many).
 TWINS = 100_000
+#: Bytes of text that a task hashes at once; a longer text makes a block of its own.
+BLOCK = 1 << 18
 _LIFT = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
                                      0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
 
@@ -89,7 +91,7 @@ def _survey(docs: DataFrame, text: str, bits: int, size: int) -> DataFrame:
     def run(batches):
         counts, salt = np.zeros(1 << bits, np.uint32), 0
         names = ["doc_id", "n_shingles", "key", "check", "chunk", "salt", "cells"]
-        for batch in columns.small_batches(batches, text):
+        for batch in columns.small_batches(batches, text, BLOCK):
             sets = shingle_sets(batch.column(text), size)
             if sets:
                 cell, times = np.unique(np.concatenate(sets) >> np.uint64(64 - bits), return_counts=True)
@@ -113,7 +115,7 @@ def _prefixes(docs: DataFrame, text: str, rarity, bits: int, size: int, percent:
     those of all blocks one stays."""
 
     def run(batches):
-        for batch in columns.small_batches(batches, text):
+        for batch in columns.small_batches(batches, text, BLOCK):
             seen: set[int] = set()
             keys, sizes, lists = [], [], [[] for _ in ORDERS]
             for s in shingle_sets(batch.column(text), size):
@@ -174,7 +176,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, rows: DataFrame, bit
             own = np.flatnonzero(member.value[np.asarray(batch.column("cell"))])
             if not len(own):
                 continue
-            for part in columns.small_batches([batch.take(pa.array(own))], text):
+            for part in columns.small_batches([batch.take(pa.array(own))], text, BLOCK):
                 sets = dict((_key(s, twins), s) for s in shingle_sets(part.column(text), size) if len(s)).items()
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sets], pa.int64()), pa.array([s.tobytes() for _, s in sets], pa.binary())], names=["key", "cells"])
 
