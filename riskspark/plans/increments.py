@@ -76,7 +76,7 @@ def _headlines(s, d):
       SELECT 'Customer ' || o_custkey || ' moves the market' AS headline,
              min(struct_pack(date := CAST(o_orderdate AS DATE), article_id := o_orderkey)) AS f FROM orders GROUP BY 1)""")
 def inc_update_news(s, d):
-    """First copy of each headline over all batches, by state per headline."""
+    """First copy of each headline over all batches, by state per bucket of headlines."""
     path, ck = scratch_path(s, "news_stream"), scratch_path(s, "ck")
     out = dd.first_copies(_headlines(s, d), order=("date", "article_id"))
     inc.write_append(out, path, ck)

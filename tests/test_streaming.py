@@ -98,6 +98,32 @@ def test_headline_state_is_dropped_after_its_time(spark, tmp_path):
     assert spark.read.schema(NEWS).parquet(path).count() == 3
 
 
+def test_headlines_share_states(spark, tmp_path):
+    folder, path, ck = str(tmp_path), str(tmp_path / "out"), str(tmp_path / "ck")
+    ids = [range(0, 6000), range(3000, 9000)]  # twice in each file, the later day first
+    for f in ids:
+        rows = spark.range(f.start, f.stop).withColumn("n", F.explode(F.array(F.lit(1), F.lit(0))))
+        land(rows.select(F.concat(F.lit("headline "), "id").alias("headline"), (F.col("id") * 2 + F.col("n")).alias("article_id"),
+                         F.date_add(F.lit(DAY(0)), F.col("n")).alias("date")), folder, "news")
+    stream = dd.first_copies(inc.read_landed(spark, folder, T._parse_datatype_string(NEWS), "news", 1), order=("date",))
+    q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", ck).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) <= dd.BUCKETS
+    got = sorted((int(r["headline"][9:]), r["article_id"]) for r in spark.read.schema(NEWS).parquet(path).collect())
+    assert got == [(i, 2 * i) for i in range(9000)]
+
+
+def test_a_bucket_drops_only_headlines_past_their_time(spark, tmp_path):
+    folder, path, ck = str(tmp_path), str(tmp_path / "out"), str(tmp_path / "ck")
+    schema = T._parse_datatype_string(NEWS)
+    run = lambda rows, keep: (land(news(spark, rows), folder, "news"), inc.write_append(
+        dd.first_copies(inc.read_landed(spark, folder, schema, "news", 1), keep_ms=keep, buckets=1), path, ck))
+    run([("long", 1, DAY(0))], dd.DAY_MS)
+    run([("short", 2, DAY(0)), ("long", 3, DAY(1))], 1)
+    run([("short", 4, DAY(2)), ("long", 5, DAY(2))], 1)
+    assert sorted(r["article_id"] for r in spark.read.schema(NEWS).parquet(path).collect()) == [1, 2, 4]
+
+
 def test_sink_reads_only_folders_that_may_hold_its_keys(spark, tmp_path):
     schema = T.StructType([T.StructField("headline", T.StringType()), T.StructField("article_id", T.LongType())])
     sink = ki.IndexedSink(spark, str(tmp_path / "sink"), ["headline"], schema)
