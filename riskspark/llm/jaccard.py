@@ -37,7 +37,7 @@ CELL_BITS = (16, 26)
 #: At most so many shared halves of digests are resolved (no sound digest has as many).
 TWINS = 100_000
 #: Bytes of text that a task hashes at once; a longer text makes a block of its own.
-BLOCK = 1 << 18
+BLOCK = columns.WORD_BLOCK
 _LIFT = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
                                      0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3))
 

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskspark.common import materialise
-from riskspark.llm.columns import small_batches
+from riskspark.llm.columns import WORD_BLOCK, small_batches
 from riskspark.llm.tokens import encoder, frequent_words, id_type, vocabulary_path
 
 WINDOW = 1024
@@ -29,7 +29,7 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, key: str = "doc_id
 
     def run(batches):
         part, row, at = TaskContext.get().partitionId(), 0, 0
-        for batch in small_batches(batches, text, keep="tokens"):
+        for batch in small_batches(batches, text, WORD_BLOCK, keep="tokens"):
             ids, n = encoder(path, words).column(batch.column(text), end_id)
             start, ends = at + np.cumsum(n) - n, np.append(0, np.cumsum(n) * ids.itemsize)
             coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)])

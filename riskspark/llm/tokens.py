@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm.columns import U64, _buffers, _powers, _TABLE, give_back, mix, small_batches, worker_kept
+from riskspark.llm.columns import U64, _buffers, _powers, _TABLE, give_back, mix, small_batches, worker_kept, WORD_BLOCK
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Units of the table, the text they are counted in, and their longest.
@@ -276,7 +276,7 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", words: int =
     some = docs.select(text).where(F.pmod(F.xxhash64(F.col(text), F.lit(13)), F.lit(1 << 30)) < share)
 
     def count(batches):
-        for batch in small_batches(batches, text):
+        for batch in small_batches(batches, text, WORD_BLOCK):
             offs, raw = _buffers(batch.column(text))
             if not len(raw):
                 continue

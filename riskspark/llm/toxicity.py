@@ -73,7 +73,7 @@ def _signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     zeros without one."""
 
     def run(batches):
-        for batch in columns.small_batches(batches, text):
+        for batch in columns.small_batches(batches, text, columns.WORD_BLOCK):
             h, at = columns.words(batch.column(text), split_marks=True)
             n = np.diff(at)
             doc = np.repeat(np.arange(batch.num_rows), n)
@@ -125,7 +125,7 @@ def _terms(marked: DataFrame, text: str, n_toxic: int, n_clean: int) -> np.ndarr
 
     def count(batches):
         seen, salt = np.zeros((BUCKETS + 1, 3), np.int64), 0
-        for batch in columns.small_batches(batches, text):
+        for batch in columns.small_batches(batches, text, columns.WORD_BLOCK):
             h, doc, _, _ = _distinct_words(batch, text)
             toxic, part = np.asarray(batch.column("toxic").fill_null(-1)), np.asarray(batch.column("part").fill_null(0))
             at = (h % np.uint64(BUCKETS)).astype(np.int64)
@@ -149,7 +149,7 @@ def _terms(marked: DataFrame, text: str, n_toxic: int, n_clean: int) -> np.ndarr
 
     def exact(batches):
         found: set[tuple[int, int, int]] = set()
-        for batch in columns.small_batches(batches, text):
+        for batch in columns.small_batches(batches, text, columns.WORD_BLOCK):
             h, doc, _, _ = _distinct_words(batch, text)
             own = chosen[(h % np.uint64(BUCKETS)).astype(np.int64)]
             like, toxic = (np.asarray(batch.column(c))[doc[own]].tolist() for c in ("like", "toxic"))
@@ -170,7 +170,7 @@ def _features(docs: DataFrame, terms: np.ndarray, key: str, text: str) -> DataFr
     """(key, n_words, at, counts): the terms of each whole text."""
 
     def run(batches):
-        for batch in columns.small_batches(batches, text):
+        for batch in columns.small_batches(batches, text, columns.WORD_BLOCK):
             h, doc, counts, n = _distinct_words(batch, text)
             at = np.searchsorted(terms, h)
             own = np.flatnonzero((at < len(terms)) & (terms[np.minimum(at, len(terms) - 1)] == h)) if len(terms) else np.zeros(0, np.int64)
@@ -320,7 +320,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     of no terms. Keys may be NULL or repeat; other columns are ignored."""
 
     def run(batches):
-        for batch in columns.small_batches(batches, text):
+        for batch in columns.small_batches(batches, text, columns.WORD_BLOCK):
             n, hits, p = _grades(batch, model, text)
             toxic = 1 - p[:, 0]
             yield pa.RecordBatch.from_arrays(
@@ -337,7 +337,7 @@ def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     """The rows, with all their columns, that are not toxic."""
 
     def run(batches):
-        for batch in columns.small_batches(batches, text):
+        for batch in columns.small_batches(batches, text, columns.WORD_BLOCK):
             yield batch.filter(pa.array(1 - _grades(batch, model, text)[2][:, 0] < REJECT_AT))
 
     return docs.mapInArrow(run, docs.schema)

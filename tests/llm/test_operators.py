@@ -330,3 +330,31 @@ def test_unigram_pieces_are_the_best_split():
         for i in range(1, len(word) + 1):
             best.append(max((best[j][0] + coder.score[coder.ids[word[j:i]]], best[j][1] + [word[j:i]]) for j in range(i) if word[j:i] in coder.ids))
         assert sum(coder.score[i] for i in got) == best[-1][0]
+
+
+def test_encoding_holds_small_blocks(monkeypatch):
+    """A task that encodes texts holds some numbers a byte of a block of 256 KB, not of 1 MB."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from riskspark.llm import columns, packing
+
+    class Docs:
+        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+        select = lambda self, *names: self
+        mapInArrow = lambda self, run, schema: run
+
+    monkeypatch.setattr(packing, "frequent_words", lambda *_: None)
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    run = packing.encode_documents(Docs(), tokens.vocabulary_path(), 0)
+    texts = [" ".join(f"word{i % 50}" for i in range(j, j + 200)) for j in range(3_000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    tokens.encoder(tokens.vocabulary_path())
+    columns.give_back()
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in run([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and peak < 40 << 20
