@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.util import inheritable_thread_target
 
 BROADCAST_ROW_LIMIT = 10_000
 
@@ -56,6 +59,19 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(spark: SparkSession, *steps: Callable) -> list:
+    """Results of independent steps, each run in a thread of its own: rows of small jobs
+    that one after another leave most cores idle. Every thread gets its own copy of the
+    caller's job settings. An error is raised once all steps have ended."""
+    def own(step):
+        wrap = inheritable_thread_target(spark)
+        return wrap(step) if callable(wrap) else step  # not callable: threads are not pinned, nothing to copy
+
+    with ThreadPoolExecutor(len(steps)) as pool:
+        runs = [pool.submit(own(step)) for step in steps]
+    return [run.result() for run in runs]
+
+
 # Sums of money are exact decimals, so ratios often sit on a rounding tie that the
 # last bit of a sum decides; the offset moves them off the tie.
 ROUND_OFFSET = 1.3e-9

@@ -11,7 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.common import materialise
+from riskspark.common import materialise, side_by_side
 from riskspark.operators import calendar as cal, ranking as rk, rolling as ro
 
 FrameAt = Callable[[dict[int, dt.date]], DataFrame]
@@ -60,16 +60,21 @@ def walk_forward(rows: DataFrame, folds: int = 3, trees: int = 200, features: li
     ``frame_at``, on features fitted on that past."""
     split = cal.walk_forward(rows, ["series"], folds)
     if frame_at is not None and not split.isEmpty():
-        split = materialise(at_cutoffs(split, features, frame_at), "fold_rows")
-    parts = []
-    for k in range(folds):
-        fold = split.filter(F.col("fold") == k)
+        # A forest draws its samples along the rows of a task, so a fold (one row per day) is one task in order of dates.
+        rows = at_cutoffs(split, features, frame_at).repartition(folds, "fold").sortWithinPartitions("fold", "date")
+        split = materialise(rows, "fold_rows")
+
+    def scored(k):
+        fold = split.filter(F.col("fold") == k).coalesce(1)
         train = fold.filter("is_train")
         seen = {row[0] for row in train.select("label").distinct().collect()}
         if len(seen) < 2:
-            continue
+            return None
         model = classifier(trees=trees).fit(balanced(train))
-        parts.append(score(model, fold.filter("NOT is_train")).select("fold", "date", "label", "p"))
+        return score(model, fold.filter("NOT is_train")).select("fold", "date", "label", "p")
+
+    steps = [lambda k=k: scored(k) for k in range(folds)]
+    parts = [part for part in side_by_side(split.sparkSession, *steps) if part is not None]
     if not parts:  # no fold whose past holds both classes
         return split.filter("false").select("fold", "date", "label", F.lit(None).cast("double").alias("p"))
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.common import materialise
+from riskspark.common import materialise, side_by_side
 from riskspark.models import frames as fr, linear as ln, profiles as pr, quantile as qr, recovery as rc, ridge as rg, \
     shock as sk
 from riskspark.models.store import Store, Version
@@ -37,17 +37,21 @@ class Inputs:
 
 def train(store: Store, t: Inputs) -> Version:
     """One committed version with all items that the tables allow: without both
-    classes of days there is no shock model, without events no recovery rules."""
+    classes of days there is no shock model, without events no recovery rules. The
+    models don't read each other, so they are fitted side by side."""
     draft = store.draft()
-    shock_model(draft, t)
-    risk_rules(draft, t)
+
+    def sensitivities():
+        coef = domain_coefficients(draft, t)
+        if t.profile is not None:
+            clusters(draft, coef, t.profile)
+
+    steps = [lambda: shock_model(draft, t), lambda: risk_rules(draft, t), sensitivities]
     if t.events is not None:
-        recovery_rules(draft, t)
-    coef = domain_coefficients(draft, t)
-    if t.profile is not None:
-        clusters(draft, coef, t.profile)
+        steps.append(lambda: recovery_rules(draft, t))
     if t.causes is not None:
-        draft.table("causes", t.causes, "effect")
+        steps.append(lambda: draft.table("causes", t.causes, "effect"))
+    side_by_side(store.spark, *steps)
     return draft.commit()
 
 
@@ -57,8 +61,11 @@ def shock_model(draft, t: Inputs) -> None:
     rows = materialise(sk.training_rows(t.days, features, f"shock_{t.shock_portfolio}"), "train_shock")
     if rows.select("label").distinct().count() < 2:
         return
-    report = sk.evaluate(materialise(sk.walk_forward(rows, features=features, frame_at=t.days_at), "train_folds")).first()
-    draft.model("shock_model", sk.classifier().fit(sk.balanced(rows)))
+    report, model = side_by_side(
+        rows.sparkSession,
+        lambda: sk.evaluate(materialise(sk.walk_forward(rows, features=features, frame_at=t.days_at), "train_folds")).first(),
+        lambda: sk.classifier().fit(sk.balanced(rows)))
+    draft.model("shock_model", model)
     draft.values("shock_values", threshold=0.5 if report["threshold"] is None else report["threshold"],
                  f1=report["f1_calibrated"], auc_roc=report["auc_roc"], folds=report["folds"])
 
@@ -100,7 +107,7 @@ def domain_coefficients(draft, t: Inputs) -> DataFrame:
 
 def clusters(draft, coef: DataFrame, profile: DataFrame) -> None:
     """Profiles with the names of their flat and top-down clusters."""
-    rows = materialise(profile.join(coef, "portfolio", "right").fillna(0.0), "train_profiles")
+    rows = materialise(profile.join(coef, "portfolio", "right").fillna(0.0).orderBy("portfolio"), "train_profiles")
     numbers = [c for c in rows.columns if c != "portfolio"]
     v = pr.vectors(rows, numbers)
     out = pr.assign(v, pr.choose_k(v)[1]) if rows.count() > 2 else v.withColumns(

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskspark import constants as K, fixtures as fx
-from riskspark.common import materialise
+from riskspark.common import materialise, side_by_side
 from riskspark.operators import calendar as cal, normalise as nz, rolling as ro, sentiment as se
 from riskspark.operators.portfolio import portfolio_series
 
@@ -55,6 +55,11 @@ def daily(s, d) -> DataFrame:
     return se.winsorize(daily_raw(s, d), "sentiment_score", "domain")
 
 
+def reductions(s, d) -> None:
+    """Write both reductions side by side, for queries that need the two."""
+    side_by_side(s, lambda: prices(s, d), lambda: daily_raw(s, d))
+
+
 def trading_days(s, d) -> DataFrame:
     return cal.trading_calendar(prices(s, d))
 

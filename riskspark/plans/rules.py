@@ -5,7 +5,7 @@ import hashlib
 from pyspark.sql import Window as W, functions as F
 
 from riskspark import constants as K, fixtures as fx
-from riskspark.common import dimension, materialise, r, rounded, shared_path
+from riskspark.common import dimension, materialise, r, rounded, shared_path, side_by_side
 from riskspark.models import profiles as pr, recovery as rc, scoring as sc, training as tr
 from riskspark.models.store import Store
 from riskspark.operators import rules as ru, serving as sv, shocks as sh
@@ -132,11 +132,14 @@ def model_store(s, d):
 def train(s, d, store):
     from riskspark.plans.joins import _CTX, shock_events
     from riskspark.plans.modelling import PORTFOLIOS, causality, day_frame, day_frame_at, portfolio_feats
+    x.reductions(s, d)
+    days, events, causes = side_by_side(
+        s, lambda: day_frame(s, d), lambda: materialise(shock_events(s, d), "events"), lambda: causality(s, d))
     prof = _profile(s, d).select("portfolio", "mean_shock_frequency", "intra_portfolio_correlation",
                                  "sector_concentration_hhi", "safe_haven_weight")
     return tr.train(store, tr.Inputs(
-        days=day_frame(s, d), portfolio_feats=portfolio_feats(s, d), events=materialise(shock_events(s, d), "events"),
-        profile=prof, causes=causality(s, d).groupBy("cause", "effect").agg(
+        days=days, portfolio_feats=portfolio_feats(s, d), events=events,
+        profile=prof, causes=causes.groupBy("cause", "effect").agg(
             F.min_by("lag", "p_value").alias("lag"), F.min("p_value").alias("p_value")),
         shock_portfolio=K.SHOCK_PORTFOLIO, order=PORTFOLIOS, penalties=K.RIDGE_ALPHAS, context=_CTX,
         days_at=day_frame_at(s, d)))

@@ -63,3 +63,20 @@ def test_walk_forward_asks_for_its_cutoffs(spark):
     assert asked == {0: DAYS[14], 1: DAYS[29], 2: DAYS[44]}
     assert len(got) == 45 and all(got.loc[got["fold"] == k, "date"].min() > day for k, day in asked.items())
     assert ((got["p"] > 0.5) == (got["label"] == 1)).mean() > 0.9
+
+
+def test_fold_models_do_not_depend_on_the_kind_of_join(spark):
+    rng = np.random.default_rng(5)
+    t = pd.DataFrame({"series": "all", "date": DAYS, "label": rng.integers(0, 2, 60).astype(float),
+                      "f": rng.normal(size=60)})
+    rows = spark.createDataFrame(t)
+
+    def scores(hint):
+        frame_at = lambda until: rows.select(F.explode(F.array(*[F.lit(k) for k in until])).alias("fold"), "date", "f").hint(hint)
+        got = sk.walk_forward(rows, folds=3, trees=5, features=["f"], frame_at=frame_at)
+        return got.select("fold", "date", "p").toPandas().sort_values(["fold", "date"], ignore_index=True)
+
+    want = scores("broadcast")
+    assert want["p"].nunique() > 3
+    for hint in ("merge", "shuffle_hash"):
+        pd.testing.assert_frame_equal(scores(hint), want)

@@ -1,6 +1,7 @@
 """The model store, rules applied from it, and the tables served."""
 
 import datetime as dt
+import threading
 import uuid
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from riskspark import constants as K
+from riskspark.common import side_by_side
 from riskspark.models import frames as fr, linear as ln, scoring as sc, shock as sk, training as tr
 from riskspark.models.store import Store
 from riskspark.operators import serving as sv
@@ -160,6 +162,53 @@ def test_signals_come_from_the_stored_version_without_a_fit(spark, fitted, monke
     pd.testing.assert_frame_equal(one, got.loc[["tech"]])
 
 
+def inputs(**given):
+    none = dict.fromkeys(("days", "portfolio_feats", "events", "profile", "causes", "order", "penalties", "context"))
+    return tr.Inputs(**{**none, "shock_portfolio": "tech", **given})
+
+
+def test_independent_fits_run_side_by_side(store, monkeypatch):
+    meet = threading.Barrier(4)  # passed only when all four fits are under way
+
+    def fit(name):
+        def run(draft, t):
+            meet.wait(20)
+            draft.values(name, v=1.0)
+        return run
+
+    names = ["shock_model", "risk_rules", "recovery_rules", "domain_coefficients"]
+    for name in names:
+        monkeypatch.setattr(tr, name, fit(name))
+    assert tr.train(store, inputs(events="some")).items == set(names)
+
+
+def test_a_failed_fit_commits_nothing(store, monkeypatch):
+    for name in ("shock_model", "risk_rules", "domain_coefficients"):
+        monkeypatch.setattr(tr, name, lambda draft, t, name=name: draft.values(name, v=1.0))
+    monkeypatch.setattr(tr, "risk_rules", lambda draft, t: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        tr.train(store, inputs())
+    assert store.latest() is None
+
+
+def test_each_step_has_its_own_copy_of_the_job_settings(spark):
+    sc_, meet = spark.sparkContext, threading.Barrier(2)
+
+    def step(name):
+        seen = sc_.getLocalProperty("note")
+        meet.wait(20)
+        sc_.setLocalProperty("note", name)
+        meet.wait(20)
+        return seen, sc_.getLocalProperty("note")
+
+    sc_.setLocalProperty("note", "caller")
+    try:
+        assert side_by_side(spark, lambda: step("a"), lambda: step("b")) == [("caller", "a"), ("caller", "b")]
+        assert sc_.getLocalProperty("note") == "caller"
+    finally:
+        sc_.setLocalProperty("note", None)
+
+
 def test_sensitivities_and_causes(spark, fitted):
     recent = spark.createDataFrame([(K.DOMAINS[1], -0.2)], "domain string, recent_sentiment double")
     row = sc.sensitivities(fitted, recent, K.DOMAINS, "tech").first()
