@@ -50,12 +50,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return shared_path(spark, f"{label}-{uuid.uuid4().hex}")
 
 
-def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialise(df: DataFrame, label: str = "stage", group: int | None = None) -> DataFrame:
     """Write a stage once to shared storage and read it back: later passes rescan
-    the columns they need and survive the loss of executors."""
+    the columns they need and survive the loss of executors. Readers hold up to 4096
+    rows at a time, but none past a row group: ``group`` is its rows where rows are large."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.write.option("parquet.block.row.count.limit", group) if group else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

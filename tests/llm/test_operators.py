@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +132,55 @@ def test_topk_is_exact(spark):
     assert topk.search(df.limit(0)).count() == 0 and topk.search(df.where("vec_id < 3")).count() == 2
 
 
+def brute(m, every, k):
+    """The rows of topk.search over vectors whose ids are their places, in whole numbers of any size."""
+    whole, out = np.floor(256 * m).astype(np.int64).astype(object), []
+    for q in range(0, len(m), every):
+        scores = sorted((-s, i) for i, s in enumerate((whole * whole[q]).sum(1)) if i != q)
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    return out
+
+
+def test_topk_copies_queries_once_a_span(spark, monkeypatch):
+    """Queries go to few spans of rows, never to a broadcast of a copy for each block, and a span hands on few rows."""
+    plans, counts, files, spans, k = {}, {}, {}, 3, 5
+
+    def seen(df, label, *more):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        out = materialise(df, label, *more)
+        counts[label], files[label] = out.count(), out.inputFiles()
+        return out
+
+    materialise = topk.materialise
+    monkeypatch.setattr(topk, "materialise", seen)
+    for name, value in (("BLOCK_ROWS", 8), ("QUERY_ROWS", 4), ("TILE_ROWS", 64), ("LEAST_SPANS", spans), ("GROUP", 4)):
+        monkeypatch.setattr(topk, name, value, raising=False)
+    m = np.random.default_rng(4).normal(size=(600, 8))
+    got = topk.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>"), every=20)
+    assert sorted(map(tuple, got.collect())) == brute(m, 20, k)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for label in ("topk-gathered", "topk-collected"):
+        for i, line in enumerate(plans[label]):
+            below = plans[label][i + 1 :] if "BroadcastExchange" in line else []
+            below = below[: next((j for j, x in enumerate(below) if depth(x) <= depth(line)), None)]
+            assert not any("Generate" in x for x in below), label
+    assert counts["topk-queries"] > 3 and counts["topk-blocks"] > 20 * spans  # so copies by blocks would show
+    assert counts["topk-gathered"] <= 30 * spans * topk.LISTS * k and counts["topk-collected"] <= 30 * spans * k
+    groups = [pq.ParquetFile(f.removeprefix("file:").replace("///", "/")).metadata for f in files["topk-blocks"]]
+    assert max(x.row_group(i).num_rows for x in groups for i in range(x.num_row_groups)) <= 4
+
+
+@pytest.mark.parametrize("kind", ["ties", "equal", "longs", "mixed", "few"])
+def test_topk_over_spans_is_exact(spark, monkeypatch, kind):
+    for name, value in (("BLOCK_ROWS", 16), ("QUERY_ROWS", 8), ("TILE_ROWS", 24), ("LEAST_SPANS", 4)):
+        monkeypatch.setattr(topk, name, value, raising=False)
+    rng = np.random.default_rng(6)
+    m = {"ties": rng.integers(-1, 2, size=(150, 4)) / 256, "equal": np.tile(rng.normal(size=(1, 6)), (150, 1)), "longs": rng.normal(size=(150, 6)) * 2e6,
+         "mixed": rng.normal(size=(150, 5)) * 10.0 ** rng.integers(-2, 7, size=(150, 1)), "few": rng.normal(size=(4, 5))}[kind]
+    got = topk.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>"), every=2, k=6)
+    assert sorted(map(tuple, got.collect())) == brute(m, 2, 6)
+
+
 def test_neighbours_recall(spark):
     m, df = vectors(spark)
     got = {}
